@@ -1,0 +1 @@
+"""Empty on purpose: no functions are specified yet (README, "What is missing")."""

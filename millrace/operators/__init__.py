@@ -1,0 +1 @@
+"""Empty on purpose: no operators are specified yet (README, "What is missing")."""

@@ -1,0 +1 @@
+"""Empty on purpose: no streaming are specified yet (README, "What is missing")."""
