@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import op02_urls, op03_mix, op07_chat, op08_quality
+from millrace.llm import (
+    op01_html,
+    op02_urls,
+    op03_mix,
+    op05_toxicity,
+    op07_chat,
+    op08_quality,
+)
 from millrace.sources import read_table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_html.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op02_urls.judge(read_table(spark, sf_dir, "pages"))
 
@@ -18,6 +29,12 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_mix.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_toxicity.toxicity(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = op07_chat.planted(read_table(spark, sf_dir, "conversations"))
     return op07_chat.read_back(op07_chat.format_turns(rows))
@@ -28,8 +45,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
     "op2_urls": op2_urls,
     "op3_mix": op3_mix,
+    "op5_toxicity": op5_toxicity,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
 }
