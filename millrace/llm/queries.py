@@ -10,6 +10,7 @@ from millrace.llm import (
     op01_html,
     op02_urls,
     op03_mix,
+    op04_media,
     op05_toxicity,
     op07_chat,
     op08_quality,
@@ -29,6 +30,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op03_mix.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_media.media(read_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op05_toxicity.toxicity(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_urls": op2_urls,
     "op3_mix": op3_mix,
+    "op4_media": op4_media,
     "op5_toxicity": op5_toxicity,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
