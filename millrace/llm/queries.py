@@ -14,6 +14,7 @@ from millrace.llm import (
     op05_toxicity,
     op07_chat,
     op08_quality,
+    op09_pii,
 )
 from millrace.sources import read_table
 
@@ -31,7 +32,8 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op04_media.media(read_table(spark, sf_dir, "documents"))
+    # Shards have new names on each run; what they hold does not change.
+    return op04_media.media(read_table(spark, sf_dir, "documents")).drop("shard", "at")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +51,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_quality.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09_pii.find_personal(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_urls": op2_urls,
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
+    "op9_pii": op9_pii,
 }
 
 # The others are tested against brute force: SQL has no trained model or tree to offer.
