@@ -15,6 +15,7 @@ from millrace.llm import (
     op07_chat,
     op08_quality,
     op09_pii,
+    op10_dartminhash,
 )
 from millrace.sources import read_table
 
@@ -55,6 +56,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_pii.find_personal(read_table(spark, sf_dir, "documents"))
 
 
+def op10_dartminhash_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_urls": op2_urls,
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
+    "op10_dartminhash": op10_dartminhash_,
 }
 
 # The others are tested against brute force: SQL has no trained model or tree to offer.
