@@ -33,7 +33,7 @@ from millrace.llm.common import chunks, code_points, mix, pick, run_hashes, span
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 
-SAMPLE = 1500
+SAMPLE = 1000
 MOST_TRAINING_CHARS = 50_000
 CHUNK_CHARS = 4_000_000
 DIMENSION = 1 << 20
@@ -125,21 +125,48 @@ def noisy_or(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
 
 
-def _telling(b: Bags, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The features that documents of label 1 hold more often than chance by LEAST_Z deviations;
-    where they occur, as numbers among them, and in which sentence."""
+class Training(NamedTuple):
+    """Of the training texts: telling features (their numbers), where they occur (the feature's
+    place among them and its sentence), the sentences' texts and which sentences have words."""
+
+    used: np.ndarray
+    feature: np.ndarray
+    sentence: np.ndarray
+    owner: np.ndarray
+    filled: np.ndarray
+
+
+def _telling(texts: list[str], y: np.ndarray) -> Training:
+    """The features that documents of label 1 hold more often than chance by LEAST_Z deviations.
+
+    Texts are taken apart piece by piece, as only few of their features are of use.
+    """
     n, n_toxic = len(y), y.sum()
-    pairs = np.unique(b.owner[b.sentence] * DIMENSION + b.feature)
-    of, owner = pairs % DIMENSION, pairs // DIMENSION
-    found = np.bincount(of, minlength=DIMENSION)
-    toxic = np.bincount(of, y[owner], minlength=DIMENSION)
+    found, toxic = np.zeros(DIMENSION, np.int64), np.zeros(DIMENSION)
+    pieces: list[tuple[int, Bags]] = []
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    at = 0
+    for part, own in chunks([batch], "text", 500_000):
+        b = bags(own)
+        pairs = np.unique(b.owner[b.sentence] * DIMENSION + b.feature)
+        of = pairs % DIMENSION
+        found += np.bincount(of, minlength=DIMENSION)
+        toxic += np.bincount(of, y[at + pairs // DIMENSION], minlength=DIMENSION)
+        pieces.append((at, b._replace(sentence=b.sentence.astype(np.int32))))
+        at += part.num_rows
     share = (found + 0.5) / (n + 1)
-    z = (toxic - n_toxic * share) / np.sqrt(n_toxic * share * (1 - share))
-    used = np.flatnonzero(z >= LEAST_Z)
-    number = np.full(DIMENSION, -1)
+    used = np.flatnonzero(toxic - n_toxic * share >= LEAST_Z * np.sqrt(n_toxic * share * (1 - share)))
+    number = np.full(DIMENSION, -1, np.int32)
     number[used] = np.arange(len(used))
-    at = np.flatnonzero(number[b.feature] >= 0)
-    return used, number[b.feature[at]], b.sentence[at]
+    features, sentences, owners, filled, done = [], [], [], [], 0
+    for at, b in pieces:
+        hit = np.flatnonzero(number[b.feature] >= 0)
+        features.append(number[b.feature[hit]])
+        sentences.append(b.sentence[hit].astype(np.int64) + done)
+        owners.append(b.owner + at)
+        filled.append(np.bincount(b.sentence, minlength=len(b.owner)) > 0)
+        done += len(b.owner)
+    return Training(used, *map(np.concatenate, (features, sentences, owners, filled)))
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
@@ -151,22 +178,19 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(-40.0, np.zeros(DIMENSION))
-    b = bags(texts)
     n, n_toxic = len(y), y.sum()
-    filled = np.bincount(b.sentence, minlength=len(b.owner)) > 0
-    used, feature, sentence = _telling(b, y)
-    b = b._replace(sentence=sentence)
+    used, feature, sentence, owner, filled = _telling(texts, y)
     w, bias = np.zeros(len(used)), FIRST_BIAS
     seen, seen_bias = np.full(len(used), 1e-12), 1e-12
     weight = np.where(y > 0, TOXIC_SHARE / n_toxic, (1 - TOXIC_SHARE) / (n - n_toxic))
     penalty = LEAST_DOCUMENTS * TOXIC_SHARE / n_toxic
     for _ in range(EPOCHS):
-        z = bias + np.bincount(b.sentence, w[feature], minlength=len(b.owner))
+        z = bias + np.bincount(sentence, w[feature], minlength=len(owner))
         p = np.where(filled, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
-        doc = np.clip(noisy_or(p, b.owner, n), 1e-9, 1 - 1e-9)
+        doc = np.clip(noisy_or(p, owner, n), 1e-9, 1 - 1e-9)
         slope = np.where(y > 0, -(1 - doc) / doc, 1.0) * weight
-        error = slope[b.owner] * p
-        gradient = np.bincount(feature, error[b.sentence], minlength=len(used))
+        error = slope[owner] * p
+        gradient = np.bincount(feature, error[sentence], minlength=len(used))
         seen += gradient**2
         step = RATE / np.sqrt(seen)
         w -= step * gradient

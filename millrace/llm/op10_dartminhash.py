@@ -41,8 +41,14 @@ from millrace.llm.common import chunks, code_points, durable, mix, pick, run_has
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
-PLACES = BANDS * ROWS
+# Signature places; the bands use the first BANDS * ROWS of them, fingerprints use all.
+PLACES = 280
 DARTS_A_PLACE = 5.0
+# A fingerprint holds BITS bits of each place. A pair at 0.8 differs at 52.5 places in the mean,
+# with a deviation of 6.5, and so at more than MOST_DIFFERENT with probability 2e-5.
+BITS = 4
+PRINT_LONGS = PLACES * BITS // 64 + 1
+MOST_DIFFERENT = 80
 CHUNK_CHARS = 2_000_000
 
 _STEP = 0x9E3779B97F4A7C15  # the increment of splitmix64
@@ -128,13 +134,33 @@ def signatures(units: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 
 def bands(sig: np.ndarray) -> np.ndarray:
     """BANDS bucket keys a text."""
-    parts = sig.reshape(len(sig), BANDS, ROWS)
+    parts = sig[:, : BANDS * ROWS].reshape(len(sig), BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), parts.shape[:2])
     for i in range(ROWS):
         key = mix(key * np.uint64(_STEP) + parts[:, :, i])
     return key.view(np.int64)
 
 
+def fingerprints(sig: np.ndarray) -> np.ndarray:
+    """PRINT_LONGS numbers a text, with BITS bits of each place's dart."""
+    per = 64 // BITS
+    bits = np.zeros((len(sig), PRINT_LONGS * per), np.uint64)
+    bits[:, :PLACES] = sig & np.uint64(2**BITS - 1)
+    shift = np.arange(per, dtype=np.uint64) * np.uint64(BITS)
+    return (bits.reshape(len(sig), PRINT_LONGS, per) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def differing(a: str, b: str) -> Column:
+    """At how many places the fingerprints in columns a and b differ."""
+    total = F.lit(0)
+    for i in range(PRINT_LONGS):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for shift in (1, 2):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def digest_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
@@ -153,15 +179,18 @@ def sketches(docs: DataFrame) -> DataFrame:
             weight = np.bincount(owner, minlength=len(texts))
             some = np.flatnonzero(weight)
             dense = np.searchsorted(some, owner)
-            keys = bands(signatures(units, dense, len(some)))
+            sig = signatures(units, dense, len(some))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["digest"], pa.array(weight, pa.int64()),
-                 _lists(keys.ravel(), np.where(weight > 0, BANDS, 0))],
-                names=["doc_id", "digest", "weight", "keys"],
+                 _lists(bands(sig).ravel(), np.where(weight > 0, BANDS, 0)),
+                 _lists(fingerprints(sig).ravel(), np.where(weight > 0, PRINT_LONGS, 0))],
+                names=["doc_id", "digest", "weight", "keys", "print"],
             )
 
     rows = pick(docs, "doc_id", "text").select("doc_id", digest_of(F.col("text")).alias("digest"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, digest binary, weight bigint, keys array<bigint>")
+    return rows.mapInArrow(
+        run, "doc_id bigint, digest binary, weight bigint, keys array<bigint>, print array<bigint>"
+    )
 
 
 def _with_elements(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -249,6 +278,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.min("doc_id").alias("first_id"),
             F.first("weight").alias("weight"),
             F.first("keys").alias("keys"),
+            F.first("print").alias("print"),
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
@@ -280,15 +310,19 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not open_.isEmpty():
         sizes = open_.groupBy("key", "label").count()
         largest = sizes.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-        open_ = durable(open_.join(largest, "key"))
+        open_ = durable(
+            open_.join(largest, "key").join(nodes.select("node", "print"), "node")
+        )
         outside = open_.where("label <> main").select(
-            "key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("weight").alias("wx")
+            "key", F.col("node").alias("x"), F.col("label").alias("lx"),
+            F.col("weight").alias("wx"), F.col("print").alias("px"),
         )
         near = F.least("weight", "wx") >= SIMILARITY * F.greatest("weight", "wx")
         rest = (
             outside.join(open_, "key")
             .where((F.col("label") != F.col("lx")) & near)
             .where((F.col("label") == F.col("main")) | (F.col("x") < F.col("node")))
+            .where(differing("print", "px") <= MOST_DIFFERENT)
             .select(*_ordered(F.col("x"), F.col("node")))
             .distinct()
             .join(tried, ["a", "b"], "left_anti")
