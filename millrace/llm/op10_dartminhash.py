@@ -13,10 +13,12 @@ hundreds more, however long the text, and two texts agree at a place with a prob
 to their similarity.
 
 Candidates: equal bands of ROWS places make a bucket, and a pair at 0.8 misses all BANDS with
-probability 2e-5. No bucket is expanded into pairs. First all members meet the bucket's least and
-greatest member only. Where the links found do not make the bucket one class, those outside its
-largest class meet the members of other classes; pairs inside a class are never needed. Every
-candidate is checked on the elements themselves. No bucket or partner is capped.
+probability 2e-5. No bucket is expanded into pairs. First all members meet the bucket's pivot, the
+member that meets most others, so that a group of copies costs a pair a copy. Where the links
+found do not make the bucket one class, those outside its largest class meet the members of other
+classes whose fingerprints, two bits of each place, do not differ too much; pairs inside a class
+are never needed. Every candidate is checked on the elements themselves. No bucket or partner is
+capped.
 
 Shuffles carry 64-bit numbers. Texts move once, and only those in a bucket with others move on.
 Intermediate tables are written to the shared folder. The driver only sees counts.
@@ -42,13 +44,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 # Signature places; the bands use the first BANDS * ROWS of them, fingerprints use all.
-PLACES = 280
-DARTS_A_PLACE = 5.0
-# A fingerprint holds BITS bits of each place. A pair at 0.8 differs at 52.5 places in the mean,
-# with a deviation of 6.5, and so at more than MOST_DIFFERENT with probability 2e-5.
-BITS = 4
-PRINT_LONGS = PLACES * BITS // 64 + 1
-MOST_DIFFERENT = 80
+PLACES = 200
+DARTS_A_PLACE = 8.0
+# A fingerprint holds two bits of each place. A pair at 0.8 differs at 30 places in the mean, with
+# a deviation of 5.1, and so at more than MOST_DIFFERENT with probability 2e-5.
+PRINT_LONGS = -(-PLACES * 2 // 64)
+MOST_DIFFERENT = 51
 CHUNK_CHARS = 2_000_000
 
 _STEP = 0x9E3779B97F4A7C15  # the increment of splitmix64
@@ -142,25 +143,28 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(sig: np.ndarray) -> np.ndarray:
-    """PRINT_LONGS numbers a text, with BITS bits of each place's dart."""
-    per = 64 // BITS
-    bits = np.zeros((len(sig), PRINT_LONGS * per), np.uint64)
-    bits[:, :PLACES] = sig & np.uint64(2**BITS - 1)
-    shift = np.arange(per, dtype=np.uint64) * np.uint64(BITS)
-    return (bits.reshape(len(sig), PRINT_LONGS, per) << shift).sum(axis=2, dtype=np.uint64).view(np.int64)
+    """PRINT_LONGS numbers a text, with two bits of each place's dart."""
+    bits = np.zeros((len(sig), PRINT_LONGS * 32), np.uint64)
+    bits[:, :PLACES] = sig & np.uint64(3)
+    shift = np.arange(32, dtype=np.uint64) * np.uint64(2)
+    packed = (bits.reshape(len(sig), PRINT_LONGS, 32) << shift).sum(axis=2, dtype=np.uint64)
+    return packed.view(np.int64)
 
 
 def differing(a: str, b: str) -> Column:
-    """At how many places the fingerprints in columns a and b differ."""
+    """At how many places the fingerprints in columns a0, a1... and b0, b1... differ."""
     total = F.lit(0)
     for i in range(PRINT_LONGS):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for shift in (1, 2):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+        x = F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))
+        either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        total = total + F.bit_count(either)
     return total
 
 
+def print_columns(of: str, name: str) -> list[Column]:
+    return [F.get(of, F.lit(i)).alias(f"{name}{i}") for i in range(PRINT_LONGS)]
+
+
 def digest_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
@@ -283,18 +287,24 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("node", F.monotonically_increasing_id())
     )
     placed = nodes.select("node", "weight", F.explode("keys").alias("key"))
-    buckets = (
-        placed.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("greatest"))
-        .where("n > 1")
-    )
-    members = durable(placed.join(buckets, "key").drop("n"))
+    shared = placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = durable(placed.join(shared, "key"))
     inside = members.select("node").distinct()
     wanted = nodes.select("node", "digest", "first_id").join(inside, "node", "left_semi")
     units = durable(_with_elements(docs, wanted))
 
-    ends = members.select("node", F.explode(F.array("least", "greatest")).alias("end"))
-    tried = durable(ends.where("node <> end").select(*_ordered(F.col("node"), F.col("end"))).distinct())
+    # The text that meets most others is in the middle of a group of copies: as a pivot it links
+    # to copies that need not be near each other.
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    pivots = members.join(met, "node").groupBy("key").agg(
+        F.max(F.struct("met", "node"))["node"].alias("pivot")
+    )
+    tried = durable(
+        members.join(pivots, "key")
+        .where("node <> pivot")
+        .select(*_ordered(F.col("node"), F.col("pivot")))
+        .distinct()
+    )
     links = durable(_linked(tried, units))
     alone = durable(inside.select("node", F.col("node").alias("label")))
     labels = components(alone, links)
@@ -311,18 +321,21 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sizes = open_.groupBy("key", "label").count()
         largest = sizes.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
         open_ = durable(
-            open_.join(largest, "key").join(nodes.select("node", "print"), "node")
+            open_.join(largest, "key").join(
+                nodes.select("node", *print_columns("print", "p")), "node"
+            )
         )
         outside = open_.where("label <> main").select(
             "key", F.col("node").alias("x"), F.col("label").alias("lx"),
-            F.col("weight").alias("wx"), F.col("print").alias("px"),
+            F.col("weight").alias("wx"),
+            *[F.col(f"p{i}").alias(f"x{i}") for i in range(PRINT_LONGS)],
         )
         near = F.least("weight", "wx") >= SIMILARITY * F.greatest("weight", "wx")
         rest = (
             outside.join(open_, "key")
             .where((F.col("label") != F.col("lx")) & near)
             .where((F.col("label") == F.col("main")) | (F.col("x") < F.col("node")))
-            .where(differing("print", "px") <= MOST_DIFFERENT)
+            .where(differing("p", "x") <= MOST_DIFFERENT)
             .select(*_ordered(F.col("x"), F.col("node")))
             .distinct()
             .join(tried, ["a", "b"], "left_anti")

@@ -12,6 +12,7 @@ from millrace.llm import (
     op03_mix,
     op04_media,
     op05_toxicity,
+    op06_bpe,
     op07_chat,
     op08_quality,
     op09_pii,
@@ -43,6 +44,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_bpe.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = op07_chat.planted(read_table(spark, sf_dir, "conversations"))
     return op07_chat.read_back(op07_chat.format_turns(rows))
@@ -56,7 +61,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op09_pii.find_personal(read_table(spark, sf_dir, "documents"))
 
 
-def op10_dartminhash_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
@@ -66,10 +71,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix": op3_mix,
     "op4_media": op4_media,
     "op5_toxicity": op5_toxicity,
+    "op6_bpe": op6_bpe,
     "op7_chat": op7_chat,
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
-    "op10_dartminhash": op10_dartminhash_,
+    "op10_dartminhash": op10_near_duplicates,
 }
 
 # The others are tested against brute force: SQL has no trained model or tree to offer.
