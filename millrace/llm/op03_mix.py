@@ -186,6 +186,24 @@ def mix_sources(docs: DataFrame) -> DataFrame:
     )
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, each as often as the mix takes it."""
+    sizes = durable(sized(docs))
+    limits = durable(thresholds(sizes, durable(targets(sizes))))
+    names = docs.columns
+    numbered = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    at = {c: f"_c{i}" for i, c in reversed(list(enumerate(names)))}
+    keyed = numbered.select(
+        "*", *[F.col(at[c]).alias(c) for c in ("doc_id", "text", "source")]
+    ).withColumn("h", mix_hash())
+    return (
+        decide(keyed.drop("doc_id", "text"), limits)
+        .where("copies > 0")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies")))
+        .select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)])
+    )
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,

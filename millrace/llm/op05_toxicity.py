@@ -267,14 +267,31 @@ def scored(docs: DataFrame, model: Model, keep: dict[str, str] | None = None) ->
                 names=[*names, "score", "n_offending", "worst_start", "worst_end"],
             )
 
-    kept = pick(docs, *names).columns
-    source = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    numbered = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     at = {c: f"_c{i}" for i, c in reversed(list(enumerate(docs.columns)))}
-    rows = source.select(*[F.col(at[c]).alias(c) for c in kept], F.col(at["text"]).alias("_text"))
+    rows = numbered.select(*[F.col(at[c]).alias(c) for c in names], F.col(at["text"]).alias("_text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in keep.items())
     return rows.mapInArrow(run, f"{schema}, {RESULT}")
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns, that score below threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        Model(model.bias, model.weights.astype(np.float32))
+    )
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    text = f"_c{docs.columns.index('text')}"
+    numbered = docs.toDF(*names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches, text, CHUNK_CHARS):
+            b = bags(texts)
+            score = noisy_or(sentence_scores(b, shared.value), b.owner, len(texts))
+            yield batch.filter(pa.array(score < threshold))
+
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+
+
 def offending(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, start, end (code points, end exclusive) and score of every offending sentence."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
@@ -301,20 +302,28 @@ def decode_texts(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def digests(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of what they decode to, a row per row."""
+def digests(docs: DataFrame, ranks: str = RANKS, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of what they decode to, a row per row; with
+    with_ids the ids, too."""
+    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    if with_ids:
+        kinds["ids"] = pa.list_(pa.int32())
+    schema = pa.schema([("doc_id", pa.int64()), *kinds.items()])
 
     def finish(doc_ids: pa.Array, ids: Iterator[np.ndarray]) -> pa.Table:
-        rows = [
-            (len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
-             hashlib.sha256(decode(x, ranks)).hexdigest())
-            for x in ids
-        ]
-        n, encoded, decoded = zip(*rows) if rows else ((), (), ())
-        return pa.table(
-            {"doc_id": doc_ids, "n_tokens": pa.array(n, pa.int64()),
-             "ids_sha256": pa.array(encoded, pa.string()),
-             "decoded_sha256": pa.array(decoded, pa.string())}
-        )
-
-    return assemble(docs, finish, DIGESTS, ranks)
+        done, start = [], 0
+        # In pieces, so that the ids of a block are held once.
+        while start < len(doc_ids):
+            rows = [
+                (len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
+                 hashlib.sha256(decode(x, ranks)).hexdigest(), x.astype(np.int32))
+                for x in itertools.islice(ids, 500)
+            ]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())]
+            own = doc_ids.slice(start, len(rows)).combine_chunks()
+            own = own if isinstance(own, pa.ChunkedArray) else pa.chunked_array([own])
+            done.append(pa.table([own, *columns], schema=schema))
+            start += len(rows)
+        return pa.concat_tables(done) if done else schema.empty_table()
+
+    return assemble(docs, finish, DIGESTS + (", ids array<int>" if with_ids else ""), ranks)

@@ -26,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -471,16 +472,19 @@ def redact(text: str, spans: Sequence[Span]) -> str:
 def redacted(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """docs with the personal data in text replaced; other columns as they are, null stays null."""
     shared = docs.sparkSession.sparkContext.broadcast(field or fit(labelled_table()))
+    names = [f"_c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index("text")
+    numbered = docs.toDF(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches, "text", CHUNK_CHARS):
+        for batch, texts in chunks(batches, names[at], CHUNK_CHARS):
             clean = [
                 redact(t, spans) if spans else t
                 for t, (_, spans) in zip(texts, find(texts, shared.value))
             ]
-            new = pa.array(clean, batch.column(at).type, mask=np.asarray(batch.column(at).is_null()))
+            old = batch.column(at)
+            new = pc.if_else(old.is_null(), old, pa.array(clean, old.type))
             columns = [new if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
