@@ -6,7 +6,7 @@ for no operator of the inventory.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources import read_table
@@ -14,17 +14,28 @@ from millrace.sources import read_table
 SHIPPED_BY = "1998-09-02"
 
 
+def exact(column: str, digits: int) -> Column:
+    """The column as decimal(digits, 2); a value that two decimals cannot hold ends the query."""
+    value = F.col(column)
+    short = value.cast(f"decimal({digits},2)")
+    return (
+        F.when(value.isNull() | (short.cast("double") == value), short)
+        .otherwise(F.raise_error(F.concat(F.lit(f"{column} has more than two decimals: "), value)))
+        .cast(f"decimal({digits},2)")
+    )
+
+
 def lineitem_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Money is stored as double with two decimals. Summed as decimal, totals do
     # not depend on the order in which partitions arrive.
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
+    price = exact("l_extendedprice", 12)
+    discount = exact("l_discount", 4)
     return (
         read_table(spark, sf_dir, "lineitem")
         .where(F.col("l_shipdate") <= F.lit(SHIPPED_BY).cast("timestamp_ntz"))
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
-            F.sum(F.col("l_quantity").cast("decimal(12,2)")).cast("double").alias("sum_qty"),
+            F.sum(exact("l_quantity", 12)).cast("double").alias("sum_qty"),
             F.sum(price).cast("double").alias("sum_base_price"),
             F.sum(price * (F.lit(1).cast("decimal(1,0)") - discount))
             .cast("double")
@@ -34,13 +45,21 @@ def lineitem_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _exact_sql(column: str, digits: int) -> str:
+    short = f"CAST({column} AS DECIMAL({digits},2))"
+    return (
+        f"CASE WHEN {column} IS NULL OR CAST({short} AS DOUBLE) = {column} THEN {short} "
+        f"ELSE error('{column} has more than two decimals') END"
+    )
+
+
 LINEITEM_SUMMARY_SQL = f"""
 SELECT l_returnflag,
        l_linestatus,
-       CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS sum_qty,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS sum_base_price,
-       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))
-                * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS sum_disc_price,
+       CAST(sum({_exact_sql("l_quantity", 12)}) AS DOUBLE) AS sum_qty,
+       CAST(sum({_exact_sql("l_extendedprice", 12)}) AS DOUBLE) AS sum_base_price,
+       CAST(sum({_exact_sql("l_extendedprice", 12)}
+                * (1 - {_exact_sql("l_discount", 4)})) AS DOUBLE) AS sum_disc_price,
        count(*) AS count_order
 FROM lineitem
 WHERE l_shipdate <= TIMESTAMP '{SHIPPED_BY} 00:00:00'

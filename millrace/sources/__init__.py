@@ -1,3 +1,3 @@
-from millrace.sources.tables import SCHEMAS, read_table
+from millrace.sources.tables import SCHEMAS, null_counts, read_table
 
-__all__ = ["SCHEMAS", "read_table"]
+__all__ = ["SCHEMAS", "null_counts", "read_table"]

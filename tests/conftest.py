@@ -23,7 +23,7 @@ def spark():
 def sf_dir(request):
     path = f"{DATA}/{request.param}"
     if not os.path.isdir(path):
-        pytest.skip(f"{path} is not there")
+        pytest.fail(f"{path} is not there")
     return path
 
 
