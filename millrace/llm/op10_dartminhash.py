@@ -31,6 +31,7 @@ read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,12 +45,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 # Signature places; the bands use the first BANDS * ROWS of them, fingerprints use all.
-PLACES = 200
+PLACES = 400
 DARTS_A_PLACE = 8.0
-# A fingerprint holds two bits of each place. A pair at 0.8 differs at 30 places in the mean, with
-# a deviation of 5.1, and so at more than MOST_DIFFERENT with probability 2e-5.
+# A fingerprint holds two bits of each place. A pair at 0.8 differs at 60 places in the mean, with
+# a deviation of 7.1, and so at more than MOST_DIFFERENT with probability 3e-5.
 PRINT_LONGS = -(-PLACES * 2 // 64)
-MOST_DIFFERENT = 51
+MOST_DIFFERENT = 88
+# Pairs are checked in blocks of about so many.
+BLOCK_PAIRS = 20_000
 CHUNK_CHARS = 2_000_000
 
 _STEP = 0x9E3779B97F4A7C15  # the increment of splitmix64
@@ -198,14 +201,16 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _with_elements(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and units of the texts named in wanted (node, digest, first_id)."""
+    """node and units, in order, of the texts named in wanted (node, digest, first_id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "text", CHUNK_CHARS):
             units, owner = elements(texts)
             counts = np.bincount(owner, minlength=len(texts))
+            units = units.view(np.int64)
+            units = units[np.lexsort((units, owner))]
             yield pa.RecordBatch.from_arrays(
-                [batch["node"], _lists(units.view(np.int64), counts)], names=["node", "units"]
+                [batch["node"], _lists(units, counts)], names=["node", "units"]
             )
 
     rows = pick(docs, "doc_id", "text").withColumn("_digest", digest_of(F.col("text")))
@@ -219,16 +224,48 @@ def _with_elements(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose similarity is SIMILARITY or more."""
-    a = units.select(F.col("node").alias("a"), F.col("units").alias("ua"))
-    b = units.select(F.col("node").alias("b"), F.col("units").alias("ub"))
-    shared = F.size(F.array_intersect("ua", "ub"))
+    """The pairs (a, b) whose similarity is SIMILARITY or more.
+
+    Pairs are dealt into a grid of blocks by both their texts, so fine that neither all pairs nor
+    those of one text fill a block; a text's elements go once to each block that needs them.
+    """
+    degree = F.count("*").alias("n")
+    n, most_a = pairs.groupBy("a").agg(degree).agg(F.sum("n"), F.max("n")).first()
+    (most_b,) = pairs.groupBy("b").agg(degree).agg(F.max("n")).first()
+    even = math.sqrt((n or 0) / BLOCK_PAIRS)
+    down, across = (max(1, math.ceil(max(even, (m or 0) / BLOCK_PAIRS))) for m in (most_b, most_a))
+    row, column = F.pmod(F.xxhash64("a"), down), F.pmod(F.xxhash64("b"), across)
+    dealt = pairs.select("a", "b", (row * across + column).alias("block"))
+    needed = dealt.select("block", F.explode(F.array("a", "b")).alias("node")).distinct()
+    contents = needed.join(units, "node").select(F.col("block").alias("of"), "node", "units")
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        nodes = right["node"].to_numpy()
+        order = np.argsort(nodes)
+        lists = right["units"].combine_chunks()
+        values = lists.flatten().to_numpy()
+        starts = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+        a, b = (
+            order[np.searchsorted(nodes, left[c].to_numpy(), sorter=order)] for c in ("a", "b")
+        )
+        by_a = np.argsort(a, kind="stable")
+        a, b = a[by_a], b[by_a]
+        good = np.zeros(len(a), bool)
+        opens = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else []
+        for start, stop in zip(opens, np.append(opens[1:], len(a)) if len(a) else []):
+            own = values[starts[a[start]] : starts[a[start] + 1]]
+            for k in range(start, stop):
+                other = values[starts[b[k]] : starts[b[k] + 1]]
+                both = len(own) + len(other)
+                if min(len(own), len(other)) >= SIMILARITY * max(len(own), len(other)):
+                    at = np.searchsorted(own, other)
+                    at[at == len(own)] = 0
+                    shared = np.count_nonzero(own[at] == other)
+                    good[k] = shared >= SIMILARITY * (both - shared)
+        return pa.table({"a": nodes[a[good]], "b": nodes[b[good]]})
+
     return (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .where(F.least(F.size("ua"), F.size("ub")) >= SIMILARITY * F.greatest(F.size("ua"), F.size("ub")))
-        .where(shared >= SIMILARITY * (F.size("ua") + F.size("ub") - shared))
-        .select("a", "b")
+        dealt.groupBy("block").cogroup(contents.groupBy("of")).applyInArrow(check, "a bigint, b bigint")
     )
 
 
