@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -118,3 +119,21 @@ def run_hashes(points: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.nda
     term = mix(points[at].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21)))
     offsets = np.concatenate(([0], np.cumsum(length)[:-1]))
     return mix(np.add.reduceat(term, offsets) + length.astype(np.uint64))
+
+
+# Unicode has no letters or digits from here on.
+LAST_WORD_POINT = 0x32400
+
+
+@functools.cache
+def word_tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it belongs to a word, and its lower-case form where that is one."""
+    points = [chr(i) for i in range(LAST_WORD_POINT)]
+    word = np.zeros(0x110000, bool)
+    word[:LAST_WORD_POINT] = [c.isalnum() for c in points]
+    lower = np.arange(0x110000, dtype=np.uint32)
+    for i, c in enumerate(points):
+        low = c.lower()
+        if low != c and len(low) == 1:
+            lower[i] = ord(low)
+    return word, lower

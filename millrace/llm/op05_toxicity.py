@@ -18,7 +18,6 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -27,7 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, code_points, mix, pick, run_hashes, spans_of
+from millrace.llm.common import (
+    chunks,
+    code_points,
+    mix,
+    pick,
+    run_hashes,
+    spans_of,
+    word_tables,
+)
 
 # Fixed values of the contract.
 THRESHOLD = 0.3
@@ -53,19 +60,6 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
-@functools.cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: whether it belongs to a word, and its lower-case form where that is one."""
-    points = [chr(i) for i in range(0x110000)]
-    word = np.fromiter((c.isalnum() for c in points), bool, 0x110000)
-    lower = np.arange(0x110000, dtype=np.uint32)
-    for i, c in enumerate(points):
-        low = c.lower()
-        if low != c and len(low) == 1:
-            lower[i] = ord(low)
-    return word, lower
-
-
 class Bags(NamedTuple):
     """Features of texts: hashed feature, its sentence; a sentence's text, begin and end."""
 
@@ -78,7 +72,7 @@ class Bags(NamedTuple):
 
 def bags(texts: list[str]) -> Bags:
     points, starts = code_points(texts)
-    word, lower = _tables()
+    word, lower = word_tables()
     points = lower[points]
     inside = word[points]
     first, end = spans_of(inside, starts)

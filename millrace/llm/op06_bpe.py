@@ -33,7 +33,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, pick, shared_dir
+from millrace.llm.common import LAST_WORD_POINT, chunks, pick, shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CHUNK_CHARS = 4_000_000
@@ -52,9 +52,10 @@ WHITE_SPACE = (
 @functools.cache
 def _classes() -> np.ndarray:
     of = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter(
-        (of.get(unicodedata.category(chr(i))[0], OTHER) for i in range(0x110000)), np.uint8, 0x110000
-    )
+    table = np.full(0x110000, OTHER, np.uint8)
+    table[:LAST_WORD_POINT] = [
+        of.get(unicodedata.category(chr(i))[0], OTHER) for i in range(LAST_WORD_POINT)
+    ]
     table[list(WHITE_SPACE)] = SPACE
     return table
 

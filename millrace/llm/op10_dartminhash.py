@@ -39,18 +39,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, code_points, durable, mix, pick, run_hashes, spans_of
+from millrace.llm.common import (
+    chunks,
+    code_points,
+    durable,
+    mix,
+    pick,
+    run_hashes,
+    spans_of,
+    word_tables,
+)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 # Signature places; the bands use the first BANDS * ROWS of them, fingerprints use all.
-PLACES = 400
-DARTS_A_PLACE = 8.0
-# A fingerprint holds two bits of each place. A pair at 0.8 differs at 60 places in the mean, with
-# a deviation of 7.1, and so at more than MOST_DIFFERENT with probability 3e-5.
+PLACES = 600
+DARTS_A_PLACE = 9.0
+# A fingerprint holds two bits of each place. A pair at 0.8 differs at 90 places in the mean, with
+# a deviation of 8.7, and so at more than MOST_DIFFERENT with probability 4e-5.
 PRINT_LONGS = -(-PLACES * 2 // 64)
-MOST_DIFFERENT = 88
+MOST_DIFFERENT = 125
 # Pairs are checked in blocks of about so many.
 BLOCK_PAIRS = 20_000
 CHUNK_CHARS = 2_000_000
@@ -60,19 +69,13 @@ _FOLD = np.array([(_STEP * (2 * i + 1)) % 2**64 for i in range(SHINGLE)], np.uin
 _EMPTY = np.uint64(2**64 - 1)
 
 
-def _word_table() -> tuple[np.ndarray, np.ndarray]:
-    from millrace.llm.op05_toxicity import _tables
-
-    return _tables()
-
-
 def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed units of weight, and the text of each, in the order of the texts.
 
     The second, third... time that a shingle occurs in a text is a unit of its own.
     """
     points, starts = code_points(texts)
-    word, lower = _word_table()
+    word, lower = word_tables()
     points = lower[points]
     first, end = spans_of(word[points], starts)
     h = run_hashes(points, first, end)
@@ -223,8 +226,8 @@ def _with_elements(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return one.mapInArrow(run, "node bigint, units array<bigint>")
 
 
-def _linked(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose similarity is SIMILARITY or more.
+def _similar(pairs: DataFrame, units: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose similarity is least or more, with it.
 
     Pairs are dealt into a grid of blocks by both their texts, so fine that neither all pairs nor
     those of one text fill a block; a text's elements go once to each block that needs them.
@@ -250,22 +253,20 @@ def _linked(pairs: DataFrame, units: DataFrame) -> DataFrame:
         )
         by_a = np.argsort(a, kind="stable")
         a, b = a[by_a], b[by_a]
-        good = np.zeros(len(a), bool)
-        opens = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else []
-        for start, stop in zip(opens, np.append(opens[1:], len(a)) if len(a) else []):
-            own = values[starts[a[start]] : starts[a[start] + 1]]
-            for k in range(start, stop):
-                other = values[starts[b[k]] : starts[b[k] + 1]]
-                both = len(own) + len(other)
-                if min(len(own), len(other)) >= SIMILARITY * max(len(own), len(other)):
-                    at = np.searchsorted(own, other)
-                    at[at == len(own)] = 0
-                    shared = np.count_nonzero(own[at] == other)
-                    good[k] = shared >= SIMILARITY * (both - shared)
-        return pa.table({"a": nodes[a[good]], "b": nodes[b[good]]})
-
-    return (
-        dealt.groupBy("block").cogroup(contents.groupBy("of")).applyInArrow(check, "a bigint, b bigint")
+        alike = np.zeros(len(a))
+        for k in range(len(a)):
+            own = values[starts[a[k]] : starts[a[k] + 1]]
+            other = values[starts[b[k]] : starts[b[k] + 1]]
+            if min(len(own), len(other)) >= least * max(len(own), len(other)):
+                at = np.searchsorted(own, other)
+                at[at == len(own)] = 0
+                both = np.count_nonzero(own[at] == other)
+                alike[k] = both / (len(own) + len(other) - both)
+        good = alike >= least
+        return pa.table({"a": nodes[a[good]], "b": nodes[b[good]], "similarity": alike[good]})
+
+    return dealt.groupBy("block").cogroup(contents.groupBy("of")).applyInArrow(
+        check, "a bigint, b bigint, similarity double"
     )
 
 
@@ -309,6 +310,58 @@ def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
         names = moves.select(F.col("label").alias("node"), F.col("to").alias("label"))
 
 
+def _between_classes(
+    open_: DataFrame, nodes: DataFrame, pivots: DataFrame, measured: DataFrame
+) -> DataFrame:
+    """The pairs (a, b) still to be checked: members of one bucket in different classes, at least
+    one of them outside the bucket's largest class, not measured yet.
+
+    A pair is left out if it cannot reach SIMILARITY by its weights, or by its distances to the
+    bucket's pivot (1 - similarity is a metric, so they may differ by 1 - SIMILARITY at most), or
+    will hardly do by its fingerprints. It comes from the first bucket that both are in.
+    """
+    sizes = open_.groupBy("key", "label").count()
+    largest = sizes.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
+    known = measured.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("node"), F.col("b").alias("pivot"), "similarity"),
+                F.struct(F.col("b").alias("node"), F.col("a").alias("pivot"), "similarity"),
+            )
+        ).alias("m")
+    ).select("m.*").distinct()
+    near_pivot = F.when(F.col("node") == F.col("pivot"), 1.0).otherwise(F.col("similarity"))
+    prints = [f"p{i}" for i in range(PRINT_LONGS)]
+    full = durable(
+        open_.join(largest, "key")
+        .join(pivots, "key")
+        .join(known, ["node", "pivot"], "left")
+        .withColumn("near", near_pivot)
+        .join(nodes.select("node", "keys", *print_columns("print", "p")), "node")
+        .select("key", "band", "node", "weight", "label", "main", "near", "keys", *prints)
+    )
+    x = full.where("label <> main").select(
+        "key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("weight").alias("wx"),
+        F.col("near").alias("nx"), F.col("keys").alias("kx"),
+        *[F.col(p).alias(f"x{p[1:]}") for p in prints],
+    )
+    earlier = F.arrays_overlap(
+        F.slice("keys", F.lit(1), F.col("band")), F.slice("kx", F.lit(1), F.col("band"))
+    )
+    return (
+        x.join(full, "key")
+        .where(F.col("label") != F.col("lx"))
+        .where((F.col("label") == F.col("main")) | (F.col("x") < F.col("node")))
+        .where(F.least("weight", "wx") >= SIMILARITY * F.greatest("weight", "wx"))
+        .where(F.abs(F.col("near") - F.col("nx")) <= 1 - SIMILARITY + 1e-9)
+        .where(differing("p", "x") <= MOST_DIFFERENT)
+        .where(~earlier)
+        .select(*_ordered(F.col("x"), F.col("node")))
+        .distinct()
+        .join(measured, ["a", "b"], "left_anti")
+    )
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the rows: doc_id, digest. Of the distinct texts: digest, first_id (least id), class_id
     and whether the text is its class's first."""
@@ -323,7 +376,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
-    placed = nodes.select("node", "weight", F.explode("keys").alias("key"))
+    placed = nodes.select("node", "weight", F.posexplode("keys").alias("band", "key"))
     shared = placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = durable(placed.join(shared, "key"))
     inside = members.select("node").distinct()
@@ -333,8 +386,10 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The text that meets most others is in the middle of a group of copies: as a pivot it links
     # to copies that need not be near each other.
     met = members.groupBy("node").agg(F.sum("n").alias("met"))
-    pivots = members.join(met, "node").groupBy("key").agg(
-        F.max(F.struct("met", "node"))["node"].alias("pivot")
+    pivots = durable(
+        members.join(met, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("met", "node"))["node"].alias("pivot"))
     )
     tried = durable(
         members.join(pivots, "key")
@@ -342,11 +397,11 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select(*_ordered(F.col("node"), F.col("pivot")))
         .distinct()
     )
-    links = durable(_linked(tried, units))
+    measured = durable(_similar(tried, units, 0.0))
     alone = durable(inside.select("node", F.col("node").alias("label")))
-    labels = components(alone, links)
+    labels = components(alone, measured.where(F.col("similarity") >= SIMILARITY).select("a", "b"))
 
-    placed_labels = members.select("key", "node", "weight").join(labels, "node")
+    placed_labels = members.select("key", "band", "node", "weight").join(labels, "node")
     mixed = (
         placed_labels.groupBy("key")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -355,29 +410,8 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     open_ = durable(placed_labels.join(mixed, "key"))
     if not open_.isEmpty():
-        sizes = open_.groupBy("key", "label").count()
-        largest = sizes.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-        open_ = durable(
-            open_.join(largest, "key").join(
-                nodes.select("node", *print_columns("print", "p")), "node"
-            )
-        )
-        outside = open_.where("label <> main").select(
-            "key", F.col("node").alias("x"), F.col("label").alias("lx"),
-            F.col("weight").alias("wx"),
-            *[F.col(f"p{i}").alias(f"x{i}") for i in range(PRINT_LONGS)],
-        )
-        near = F.least("weight", "wx") >= SIMILARITY * F.greatest("weight", "wx")
-        rest = (
-            outside.join(open_, "key")
-            .where((F.col("label") != F.col("lx")) & near)
-            .where((F.col("label") == F.col("main")) | (F.col("x") < F.col("node")))
-            .where(differing("p", "x") <= MOST_DIFFERENT)
-            .select(*_ordered(F.col("x"), F.col("node")))
-            .distinct()
-            .join(tried, ["a", "b"], "left_anti")
-        )
-        more = durable(_linked(durable(rest), units))
+        rest = durable(_between_classes(open_, nodes, pivots, measured))
+        more = durable(_similar(rest, units, SIMILARITY).select("a", "b"))
         labels = components(labels, more)
 
     known = nodes.select("digest", "first_id", "node").join(labels, "node", "left").select(
