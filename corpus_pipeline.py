@@ -43,8 +43,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row a document: doc_id, n_tokens, digests of the ids and of what they decode to, ids."""
-    return op06_bpe.digests(docs, with_ids=True)
+    """A row a document: doc_id, n_tokens, digests of the ids and of what they decode to."""
+    return op06_bpe.digests(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -27,7 +27,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import LAST_WORD_POINT, chunks, pick, shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 BLOCK_CHARS = 96_000_000
 # Scans in smaller splits are joined to about so many bytes a task: larger blocks share more words.
 SPLIT_BYTES = 48 << 20
@@ -94,10 +93,10 @@ def words_of(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
         begins[at + 1] = False
         begins[at + size] = True
     first = np.flatnonzero(begins[:n])
-    size = np.ones(n, np.int64)
+    size = np.ones(n, np.uint8)
     for least in (0x80, 0x800, 0x10000):
         size += points >= least
-    ends = np.cumsum(size)
+    ends = np.cumsum(size, dtype=np.int64)
     offsets = np.append(ends[first] - size[first], ends[-1] if n else 0).astype(np.int32)
     array = pa.Array.from_buffers(
         pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(joined.encode())]
@@ -126,20 +125,23 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
         block = uuid.uuid4().int >> 65
         coded = pa.chunked_array(parts).unify_dictionaries()
+        parts.clear()
         words = coded.chunk(0).dictionary
         codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+        del coded
         # Frequent words get small numbers, whose upper bytes are 0.
         order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
         codes = rank[codes]
+        width = max(1, -(-len(words).bit_length() // 8))  # bytes that a number needs
         docs = pa.concat_arrays(ids)
         ends = np.cumsum(np.concatenate(counts))
         for start in range(0, len(docs), 1000):
             stop = min(start + 1000, len(docs))
             packed = [
                 # All lowest bytes, then all second ones...: like bytes compress together.
-                codes[a:b].view(np.uint8).reshape(-1, 4).T.tobytes()
+                codes[a:b].view(np.uint8).reshape(-1, 4).T[:width].tobytes()
                 for a, b in zip(np.append(0, ends)[start:stop], ends[start:stop])
             ]
             k = stop - start
@@ -155,7 +157,8 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(np.full(k, block)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
                  part, pa.array(np.arange(start, start + k))], schema=schema,
             )
-        ids.clear(), counts.clear(), parts.clear()
+        ids.clear(), counts.clear()
+        pa.default_memory_pool().release_unused()
 
     for batch, texts in chunks(batches, "text", CHUNK_CHARS):
         words, n = words_of(texts)
@@ -199,22 +202,22 @@ def encoding(ranks: str) -> tiktoken.Encoding:
 
 
 @functools.cache
-def token_bytes(ranks: str) -> tuple[np.ndarray, np.ndarray]:
-    """The table of token bytes: all bytes in the order of ids, and where each id's begin."""
+def token_bytes(ranks: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The table of token bytes: all bytes in the order of ids, where each id's begin, how many."""
     tokens = dict((int(b), base64.b64decode(a)) for a, b in map(bytes.split, open(ranks, "rb")))
     ordered = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
-    starts = np.zeros(len(ordered) + 1, np.int64)
-    np.cumsum([len(t) for t in ordered], out=starts[1:])
-    return np.frombuffer(b"".join(ordered), np.uint8), starts
+    size = np.array([len(t) for t in ordered], np.int64)
+    return np.frombuffer(b"".join(ordered), np.uint8), np.cumsum(size) - size, size
 
 
-def gather(values: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """The pieces values[starts[i] : starts[i + 1]] for all i of numbers, one after the other."""
-    first = starts[numbers]
-    size = starts[numbers + 1] - first
-    ends = np.cumsum(size)
+def gather(
+    values: np.ndarray, first: np.ndarray, size: np.ndarray, numbers: np.ndarray
+) -> np.ndarray:
+    """The pieces of values that begin at first[i] and have size[i] members, for i in numbers."""
+    begin, length = first[numbers], size[numbers]
+    ends = np.cumsum(length)
     total = int(ends[-1]) if len(ends) else 0
-    return values[np.arange(total) + np.repeat(first - ends + size, size)]
+    return values[np.arange(total) + np.repeat(begin - ends + length, length)]
 
 
 def decode(ids: np.ndarray, ranks: str = RANKS) -> bytes:
@@ -254,19 +257,24 @@ def assemble(docs: DataFrame, finish: Finish, schema: str, ranks: str = RANKS) -
     texts = table.where("word IS NULL").select("block", "doc_id", "codes")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right["number"].to_numpy())
-        lists = right["ids"].combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.binary())
+        lists = right["ids"].combine_chunks()
         if isinstance(lists, pa.ChunkedArray):
-            lists = lists.combine_chunks()
-        values = np.frombuffer(b"".join(lists.to_pylist()), "<u4")
-        starts = np.zeros(len(lists) + 1, np.int64)
-        np.cumsum(pc.binary_length(lists).to_numpy(zero_copy_only=False) // 4, out=starts[1:])
+            lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.binary())
+        # Where the ids of each of the block's numbers lie in what came back.
+        _, offsets, data = lists.buffers()
+        values = np.frombuffer(data or b"", "<u4")
+        ends = np.frombuffer(offsets or b"\0" * 4, np.int32)[lists.offset :][: len(lists) + 1] // 4
+        number = right["number"].to_numpy()
+        first, size = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+        first[number], size[number] = ends[:-1], np.diff(ends)
+        width = max(1, -(-len(number).bit_length() // 8))
 
         def ids() -> Iterator[np.ndarray]:
             for packed in left["codes"]:
-                codes = np.frombuffer(packed.as_py(), np.uint8).reshape(4, -1).T
-                codes = np.ascontiguousarray(codes).view("<u4")[:, 0].astype(np.int64)
-                yield gather(values, starts, codes)
+                planes = np.frombuffer(packed.as_buffer(), np.uint8).reshape(width, -1)
+                codes = np.zeros((planes.shape[1], 4), np.uint8)
+                codes[:, :width] = planes.T
+                yield gather(values, first, size, codes.view("<u4")[:, 0])
 
         return finish(left["doc_id"], ids())
 
