@@ -5,8 +5,9 @@ score is a logistic function of hashed words and character 4-grams; a document's
 noisy-or of its sentences, 1 - product(1 - p). The weights are learned from document labels
 alone, and the same sentence scores then show where a document offends.
 
-The model is fitted on the driver from a bounded sample of labelled documents (SAMPLE of each
-label, taken in the order of a hash of their id, of MOST_TRAINING_CHARS characters at most each).
+The model is fitted on the driver from a bounded sample of labelled documents (SAMPLE toxic and
+2 * SAMPLE others, in the order of a hash of their id, of MOST_TRAINING_CHARS characters at most
+each).
 Every document is scored whole, row by row and without a shuffle; memory holds about
 CHUNK_CHARS characters or the longest text.
 
@@ -40,14 +41,14 @@ from millrace.llm.common import (
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 
-SAMPLE = 1000
+SAMPLE = 1000  # of toxic rows; of others twice as many
 MOST_TRAINING_CHARS = 50_000
 CHUNK_CHARS = 4_000_000
 DIMENSION = 1 << 20
 GRAM = 4
 EPOCHS, RATE, BIAS_RATE, FIRST_BIAS = 200, 0.5, 0.5, -9.0
 # A feature is learned if toxic documents hold it more often than chance by so many deviations.
-LEAST_Z = 3.5
+LEAST_Z = 3.0
 # A feature gets a weight only if more than about so many documents ask for it (L1).
 LEAST_DOCUMENTS = 0.05
 # Of the loss, the share of the toxic documents.
@@ -204,7 +205,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model learned from at most sample documents of each label outside the held-out fold."""
+    """The model learned from at most sample toxic and 2 * sample other documents, none of them
+    in the held-out fold."""
     rows = pick(labels, "doc_id", "toxic").where(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))
     )
@@ -213,17 +215,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         rows.where("toxic = 1")
         .orderBy(order, "doc_id")
         .limit(sample)
-        .unionByName(rows.where("toxic = 0").orderBy(order, "doc_id").limit(sample))
+        .unionByName(rows.where("toxic = 0").orderBy(order, "doc_id").limit(2 * sample))
         .withColumnRenamed("doc_id", "_id")
     )
-    # At most 2 * sample rows of two numbers are broadcast.
+    # At most 3 * sample rows of two numbers are broadcast.
     known = (
         pick(docs, "doc_id", "text")
         .where(F.col("text").isNotNull() & (F.length("text") <= MOST_TRAINING_CHARS))
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
         .select("doc_id", "text", "toxic")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "toxic")
-        .limit(2 * sample)
+        .limit(3 * sample)
         .collect()
     )
     return fit([r["text"] for r in known], [r["toxic"] for r in known])
