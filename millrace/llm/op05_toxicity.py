@@ -1,13 +1,18 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences of which only the document's label is known. A sentence's
-score is a logistic function of hashed words and character 4-grams; a document's score is the
-noisy-or of its sentences, 1 - product(1 - p). The weights are learned from document labels
-alone, and the same sentence scores then show where a document offends.
-
-The model is fitted on the driver from a bounded sample of labelled documents (SAMPLE toxic and
-2 * SAMPLE others, in the order of a hash of their id, of MOST_TRAINING_CHARS characters at most
-each).
+score is how much a logistic function of hashed words and character 4-grams exceeds its value for
+a sentence without any learned feature; a document's score is the noisy-or of its sentences that
+score THRESHOLD or more, 1 - product(1 - p), and without such a sentence that of its worst one.
+No weight is negative, so a sentence without evidence scores 0, and many sentences of little
+evidence do not add up: length alone never rejects a document. The weights are learned from
+document labels alone, by the noisy-or of all sentences, and the same sentence scores then show
+where a document offends.
+
+The model is fitted on the driver from a bounded sample of labelled documents, long ones too:
+SAMPLE toxic and 2 * SAMPLE others, in the order of a hash of their id, as far as TRAINING_CHARS
+characters of each label go (whole toxic texts; of another text what is left, as any part of it
+is clean, too).
 Every document is scored whole, row by row and without a shuffle; memory holds about
 CHUNK_CHARS characters or the longest text.
 
@@ -42,7 +47,7 @@ THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 
 SAMPLE = 1000  # of toxic rows; of others twice as many
-MOST_TRAINING_CHARS = 50_000
+TRAINING_CHARS = 32_000_000  # of each label, all texts together
 CHUNK_CHARS = 4_000_000
 DIMENSION = 1 << 20
 GRAM = 4
@@ -53,6 +58,8 @@ LEAST_Z = 3.0
 LEAST_DOCUMENTS = 0.05
 # Of the loss, the share of the toxic documents.
 TOXIC_SHARE = 0.2
+# The odds that a document is called toxic without evidence: bounds its pull on the weights.
+NO_EVIDENCE = 0.02
 SENTENCE_ENDS = ".!?\n"
 
 
@@ -107,38 +114,52 @@ def bags(texts: list[str]) -> Bags:
     return Bags(feature, np.concatenate(sentences), owner, begins - offset, stop - offset)
 
 
+def _logistic(z: np.ndarray | float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def above_floor(evidence: np.ndarray, bias: float) -> np.ndarray:
+    """The probability p of sentences with so much evidence (0 or more): 1 - p is by how much it
+    lowers 1 - logistic(bias), so that no evidence gives exactly 0."""
+    return 0.0 - np.expm1(np.logaddexp(0, bias) - np.logaddexp(0, bias + evidence))
+
+
 def sentence_scores(b: Bags, model: Model) -> np.ndarray:
-    """The probability of each sentence; one without a word has 0."""
-    n = len(b.owner)
-    z = model.bias + np.bincount(b.sentence, model.weights[b.feature], minlength=n)
-    p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    p[np.bincount(b.sentence, minlength=n) == 0] = 0
-    return p
+    """The probability of each sentence; one without a feature that has a weight has 0."""
+    return above_floor(
+        np.bincount(b.sentence, model.weights[b.feature], minlength=len(b.owner)), model.bias
+    )
 
 
 def noisy_or(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
 
 
+def document_scores(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The noisy-or of each document's offending sentences, or else its worst sentence's score."""
+    worst = np.zeros(n)
+    np.maximum.at(worst, owner, p)
+    return np.where(worst < THRESHOLD, worst, noisy_or(np.where(p < THRESHOLD, 0, p), owner, n))
+
+
 class Training(NamedTuple):
     """Of the training texts: telling features (their numbers), where they occur (the feature's
-    place among them and its sentence), the sentences' texts and which sentences have words."""
+    place among them and its sentence) and the sentences' texts."""
 
     used: np.ndarray
     feature: np.ndarray
     sentence: np.ndarray
     owner: np.ndarray
-    filled: np.ndarray
 
 
 def _telling(texts: list[str], y: np.ndarray) -> Training:
     """The features that documents of label 1 hold more often than chance by LEAST_Z deviations.
 
-    Texts are taken apart piece by piece, as only few of their features are of use.
+    Texts are taken apart piece by piece, and again for the few features that are of use: all of
+    them would take several times the texts' memory.
     """
     n, n_toxic = len(y), y.sum()
     found, toxic = np.zeros(DIMENSION, np.int64), np.zeros(DIMENSION)
-    pieces: list[tuple[int, Bags]] = []
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
     at = 0
     for part, own in chunks([batch], "text", 500_000):
@@ -147,50 +168,48 @@ def _telling(texts: list[str], y: np.ndarray) -> Training:
         of = pairs % DIMENSION
         found += np.bincount(of, minlength=DIMENSION)
         toxic += np.bincount(of, y[at + pairs // DIMENSION], minlength=DIMENSION)
-        pieces.append((at, b._replace(sentence=b.sentence.astype(np.int32))))
         at += part.num_rows
     share = (found + 0.5) / (n + 1)
     used = np.flatnonzero(toxic - n_toxic * share >= LEAST_Z * np.sqrt(n_toxic * share * (1 - share)))
     number = np.full(DIMENSION, -1, np.int32)
     number[used] = np.arange(len(used))
-    features, sentences, owners, filled, done = [], [], [], [], 0
-    for at, b in pieces:
+    features, sentences, owners, done, at = [], [], [], 0, 0
+    for part, own in chunks([batch], "text", 500_000):
+        b = bags(own)
         hit = np.flatnonzero(number[b.feature] >= 0)
         features.append(number[b.feature[hit]])
         sentences.append(b.sentence[hit].astype(np.int64) + done)
         owners.append(b.owner + at)
-        filled.append(np.bincount(b.sentence, minlength=len(b.owner)) > 0)
         done += len(b.owner)
-    return Training(used, *map(np.concatenate, (features, sentences, owners, filled)))
+        at += part.num_rows
+    return Training(used, *map(np.concatenate, (features, sentences, owners)))
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Weights that lower the log loss of the documents' noisy-or.
 
-    Whole gradients with AdaGrad steps; after each step weights shrink towards 0 by the L1
-    penalty, so that the many words of few documents keep none.
+    Whole gradients with AdaGrad steps; with each step weights shrink towards 0 by the L1
+    penalty, so that the many words of few documents keep none. None goes below 0.
     """
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(-40.0, np.zeros(DIMENSION))
     n, n_toxic = len(y), y.sum()
-    used, feature, sentence, owner, filled = _telling(texts, y)
+    used, feature, sentence, owner = _telling(texts, y)
     w, bias = np.zeros(len(used)), FIRST_BIAS
     seen, seen_bias = np.full(len(used), 1e-12), 1e-12
     weight = np.where(y > 0, TOXIC_SHARE / n_toxic, (1 - TOXIC_SHARE) / (n - n_toxic))
     penalty = LEAST_DOCUMENTS * TOXIC_SHARE / n_toxic
     for _ in range(EPOCHS):
-        z = bias + np.bincount(sentence, w[feature], minlength=len(owner))
-        p = np.where(filled, 1 / (1 + np.exp(-np.clip(z, -40, 40))), 0.0)
-        doc = np.clip(noisy_or(p, owner, n), 1e-9, 1 - 1e-9)
-        slope = np.where(y > 0, -(1 - doc) / doc, 1.0) * weight
-        error = slope[owner] * p
+        evidence = np.bincount(sentence, w[feature], minlength=len(owner))
+        doc = np.clip(noisy_or(above_floor(evidence, bias), owner, n), 0, 1 - 1e-9)
+        slope = np.where(y > 0, -(1 - doc) / (doc + NO_EVIDENCE), 1.0) * weight
+        error = slope[owner] * _logistic(bias + evidence)
         gradient = np.bincount(feature, error[sentence], minlength=len(used))
         seen += gradient**2
         step = RATE / np.sqrt(seen)
-        w -= step * gradient
-        w = np.sign(w) * np.maximum(0, np.abs(w) - step * penalty)
-        total = error.sum()
+        w = np.maximum(0, w - step * (gradient + penalty))
+        total = (error - slope[owner] * _logistic(bias)).sum()
         seen_bias += total**2
         bias -= BIAS_RATE * total / np.sqrt(seen_bias)
     weights = np.zeros(DIMENSION)
@@ -218,19 +237,51 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .unionByName(rows.where("toxic = 0").orderBy(order, "doc_id").limit(2 * sample))
         .withColumnRenamed("doc_id", "_id")
     )
-    # At most 3 * sample rows of two numbers are broadcast.
-    known = (
+    # At most 3 * sample rows of two numbers are broadcast; the sizes come first, so that what is
+    # collected then is bounded.
+    rows = (
         pick(docs, "doc_id", "text")
-        .where(F.col("text").isNotNull() & (F.length("text") <= MOST_TRAINING_CHARS))
+        .where("text IS NOT NULL")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-        .select("doc_id", "text", "toxic")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "toxic")
-        .limit(3 * sample)
+        .select("doc_id", "text", "toxic", F.length("text").alias("size"))
+    )
+    by = (order, "doc_id", "size", "toxic")
+    sizes = rows.select("doc_id", "size", "toxic").orderBy(*by).limit(3 * sample).collect()
+    takes = pieces(sizes)
+    if not takes:
+        return fit([], [])
+    known = (
+        rows.join(
+            F.broadcast(
+                docs.sparkSession.createDataFrame(
+                    takes, "_doc bigint, _size int, _toxic int, _take int"
+                ).distinct()
+            ),
+            (F.col("doc_id") == F.col("_doc"))
+            & (F.col("size") == F.col("_size"))
+            & (F.col("toxic") == F.col("_toxic")),
+        )
+        .select("doc_id", "size", "toxic", F.expr("substring(text, 1, _take)").alias("text"))
+        .orderBy(*by, "text")
+        .limit(len(takes))
         .collect()
     )
     return fit([r["text"] for r in known], [r["toxic"] for r in known])
 
 
+def pieces(rows: list[tuple[int, int, int]], most: int = 0) -> list[tuple[int, int, int, int]]:
+    """How much is learned from rows (doc_id, size, toxic), in order, as a last column: most
+    characters (TRAINING_CHARS) of each label, of toxic texts all or nothing."""
+    left = dict.fromkeys((0, 1), most or TRAINING_CHARS)
+    found = []
+    for doc_id, size, toxic in rows:
+        take = min(size, left[toxic])
+        if take == size or take and not toxic:
+            found.append((doc_id, size, toxic, take))
+            left[toxic] -= take
+    return found
+
+
 RESULT = "score double, n_offending bigint, worst_start bigint, worst_end bigint"
 
 
@@ -247,7 +298,7 @@ def scored(docs: DataFrame, model: Model, keep: dict[str, str] | None = None) ->
             n = len(texts)
             b = bags(texts)
             p = sentence_scores(b, shared.value)
-            score = noisy_or(p, b.owner, n)
+            score = document_scores(p, b.owner, n)
             bad = np.flatnonzero(p >= THRESHOLD)
             count = np.bincount(b.owner[bad], minlength=n)
             worst = np.full(n, -1)
@@ -282,7 +333,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, text, CHUNK_CHARS):
             b = bags(texts)
-            score = noisy_or(sentence_scores(b, shared.value), b.owner, len(texts))
+            score = document_scores(sentence_scores(b, shared.value), b.owner, len(texts))
             yield batch.filter(pa.array(score < threshold))
 
     return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

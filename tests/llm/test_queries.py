@@ -241,6 +241,39 @@ def test_toxicity_locates_the_sentence(spark):
     assert [r.doc_id for r in op05_toxicity.without_toxic(docs, model).orderBy("doc_id").collect()] == [2, 3, 4]
 
 
+def test_toxicity_of_long_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = op05_toxicity.train(docs, labels)
+    rows = docs.join(labels, "doc_id").where(op05_toxicity.held_out(docs.doc_id)).orderBy("doc_id")
+    scored = op05_toxicity.scored(rows, model, {"toxic": "int", "text": "string"}).collect()
+    clean = [r.text for r in scored if not r.toxic and not r.n_offending]
+    bad = next(r.text for r in scored if r.toxic and r.score > 0.9)
+    plain = "All is well in town. The sun shines on the hill. " * 21_000
+    mixed = "\n".join(clean)[:1_000_000]
+    assert len(mixed) == 1_000_000
+    long = spark.createDataFrame([(1, plain), (2, mixed), (3, mixed + "\n" + bad)], "doc_id bigint, text string")
+    assert [r.predicted for r in op05_toxicity.toxicity(long, labels.where("false")).collect()] == [0, 0, 0]
+    scores = {r.doc_id: r.score for r in op05_toxicity.scored(long, model).collect()}
+    assert scores[1] == 0 and scores[2] < 0.3 < 0.9 < scores[3]
+
+
+def test_long_labelled_documents_are_learned_from(spark):
+    rows = [(i, f"Fine town {i}. " * 6000 if i == 3 else f"Fine town {i}.", 0) for i in range(8)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    seen, fit = [], op05_toxicity.fit
+    op05_toxicity.fit = lambda texts, y: seen.extend(texts) or fit(texts, y)
+    try:
+        op05_toxicity.train(docs, labels)
+    finally:
+        op05_toxicity.fit = fit
+    assert sorted(seen) == sorted(t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2)
+    assert max(map(len, seen)) > 50_000
+    sizes = [(1, 60, 0), (2, 60, 0), (3, 5, 0), (4, 120, 1), (5, 90, 1)]
+    assert op05_toxicity.pieces(sizes, 100) == [(1, 60, 0, 60), (2, 60, 0, 40), (5, 90, 1, 90)]
+
+
 # --- 6
 
 
