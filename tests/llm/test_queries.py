@@ -540,3 +540,12 @@ def test_pipeline_stages(spark):
                 ids = np.array(encoding.encode_ordinary(texts[r.doc_id]), "<u4")
                 assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())
                 assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_pipeline_returns_the_ids(spark):
+    docs = documents(spark, clash=False)
+    encoding = op06_bpe.encoding(op06_bpe.RANKS)
+    got = dict(corpus_pipeline.STAGES)["bpe"](spark, docs, SMALL)
+    assert dict(got.dtypes)["ids"] == "array<int>"
+    want = sorted((str(r.doc_id), encoding.encode_ordinary(r.text or "")) for r in docs.collect())
+    assert sorted((str(r.doc_id), r.ids) for r in got.collect()) == want
