@@ -111,13 +111,17 @@ def run_hashes(points: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.nda
         return np.zeros(0, np.uint64)
     length = end - first
     # Each code point is mixed with its place in the run; a run's hash is the sum of these.
-    total = int(length.sum())
-    base = np.repeat(first - np.concatenate(([0], np.cumsum(length)[:-1])), length)
-    where = np.arange(total, dtype=np.int64)
-    at = where + base
-    place = at - np.repeat(first, length)
-    term = mix(points[at].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21)))
-    offsets = np.concatenate(([0], np.cumsum(length)[:-1]))
+    offsets = np.cumsum(length) - length
+    place = np.arange(int(length.sum()), dtype=np.int64)
+    at = np.repeat(first - offsets, length)
+    at += place
+    term = points[at].astype(np.uint64)
+    del at
+    place -= np.repeat(offsets, length)
+    place <<= 21
+    term += place.view(np.uint64)
+    del place
+    term = mix(term)
     return mix(np.add.reduceat(term, offsets) + length.astype(np.uint64))
 
 

@@ -89,9 +89,11 @@ def bags(texts: list[str]) -> Bags:
     opens = np.zeros(len(points) + 1, bool)
     opens[1:] = ends
     opens[starts] = True
-    number = np.cumsum(opens[:-1]) - 1 if len(points) else np.zeros(0, np.int64)
+    number = np.cumsum(opens[:-1], dtype=np.int32) - 1 if len(points) else np.zeros(0, np.int32)
     begins = np.flatnonzero(opens[:-1])
-    hashes = [run_hashes(points, first, end)]
+    # What is as long as the texts is small in type, changed in place and given up early.
+    del ends, opens
+    features = [(run_hashes(points, first, end) % np.uint64(DIMENSION)).astype(np.int32)]
     sentences = [number[first]]
     if len(points) >= GRAM:
         n = len(points) - GRAM + 1
@@ -99,19 +101,24 @@ def bags(texts: list[str]) -> Bags:
         key = np.zeros(n, np.uint64)
         for k in range(GRAM):
             within &= inside[k : n + k]
-            key = key * np.uint64(0x110000 + 3) + points[k : n + k]
+            key *= np.uint64(0x110000 + 3)
+            key += points[k : n + k]
         cut = starts[1:-1]
         for k in range(1, GRAM):
             before = cut - k
             within[before[(before >= 0) & (before < n)]] = False
-        at = np.flatnonzero(within)
-        hashes.append(mix(key[at] + np.uint64(1)))
-        sentences.append(number[at])
-    feature = (np.concatenate(hashes) % np.uint64(DIMENSION)).astype(np.int32)
+        key = key[within]
+        sentences.append(number[:n][within])
+        del within, number
+        key += np.uint64(1)
+        key = mix(key)
+        key %= np.uint64(DIMENSION)
+        features.append(key.astype(np.int32))
+        del key
     owner = np.searchsorted(starts, begins, side="right") - 1
     stop = np.append(begins[1:], len(points)) if len(begins) else begins
     offset = starts[owner]
-    return Bags(feature, np.concatenate(sentences), owner, begins - offset, stop - offset)
+    return Bags(np.concatenate(features), np.concatenate(sentences), owner, begins - offset, stop - offset)
 
 
 def _logistic(z: np.ndarray | float) -> np.ndarray:
