@@ -63,6 +63,8 @@ ENDS_LIKE = {
     "option": frozenset({"option"}),
 }
 SCOPES = frozenset("ul ol dl table article section div main body html".split())
+# What the start of an element ends lies inside these.
+STOPS = SCOPES | DROPPED | {"header"}
 
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
@@ -86,10 +88,13 @@ MOST_LENGTH_POINTS, CHARS_A_POINT, BONUS, SIBLING_SHARE, LEVELS = 3.0, 100, 0.25
 
 
 class Node:
-    __slots__ = ("bonus", "links", "parent", "points", "size", "tag", "where")
+    __slots__ = ("bonus", "dropped", "links", "parent", "points", "size", "tag", "where")
 
-    def __init__(self, tag: str, parent: Node | None, bonus: float, where: int) -> None:
+    def __init__(
+        self, tag: str, parent: Node | None, bonus: float, where: int, dropped: bool = False
+    ) -> None:
         self.tag, self.parent, self.bonus, self.where = tag, parent, bonus, where
+        self.dropped = dropped  # left out, or inside an element that is
         self.points = 0.0
         self.size = self.links = 0
 
@@ -131,8 +136,6 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
     stack: list[Node] = [root]
     open_: dict[str, int] = {}
     pieces: list[tuple[str, bool]] = []
-    dropped = 0  # how deep inside an element that is left out
-    dropped_tag = ""
 
     def flush() -> None:
         if pieces:
@@ -159,12 +162,26 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
             if stack[i].tag in stop:
                 return
 
+    def close_dropped(tag: str) -> bool:
+        """Ends the nearest open tag among what is left out; True if that, or nothing, is to end.
+
+        The end of a block around what is left out ends both, that of an inline element does not.
+        """
+        for i in range(len(stack) - 1, 0, -1):
+            if not stack[i].dropped:
+                return tag in INLINE and i < len(stack) - 1
+            if stack[i].tag == tag:
+                while len(stack) > i:
+                    pop()
+                return True
+        return False
+
     at, end = 0, len(page)
     for_raw: dict[str, re.Pattern] = {}
     while at < end:
         m = _MARKUP.search(page, at)
         text = page[at : m.start() if m else end]
-        if text and not dropped:
+        if text and not stack[-1].dropped:
             pieces.append((html.unescape(text) if "&" in text else text, bool(open_.get("a"))))
         if not m:
             break
@@ -180,13 +197,6 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
             closing = for_raw[tag].search(page, at)
             at = closing.end() if closing else end
             continue
-        if dropped:
-            if tag == dropped_tag and not m["attrs"].endswith("/"):
-                dropped += -1 if m["end"] else 1
-            elif m["end"] and tag in ("article", "main", "body", "html") and open_.get(tag):
-                dropped = 0  # it was never closed, but what holds it is
-            if dropped or tag == dropped_tag:
-                continue
         if tag == "br" or tag == "hr":
             flush()
             continue
@@ -195,6 +205,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
                 flush()
             continue
         if m["end"]:
+            if close_dropped(tag):
+                continue
             if tag in INLINE:
                 close(frozenset({tag}), frozenset(t for t in SCOPES))
             else:
@@ -204,19 +216,19 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
         if tag not in INLINE:
             flush()
             if open_.get("p"):
-                close(frozenset({"p"}), SCOPES)
+                close(frozenset({"p"}), STOPS)
             if tag in ENDS_LIKE:
-                close(ENDS_LIKE[tag], SCOPES)
+                close(ENDS_LIKE[tag], STOPS)
         inside = bool(open_.get("article") or open_.get("main"))
-        out, bonus = _look(tag, m["attrs"], inside)
-        if m["attrs"].endswith("/") and tag in DROPPED:
+        within = stack[-1].dropped
+        out, bonus = (True, 0.0) if within else _look(tag, m["attrs"], inside)
+        if m["attrs"].endswith("/") and (tag in DROPPED or stack[-1].dropped):
             continue
         if out:
             flush()
-            dropped, dropped_tag = 1, tag
-            continue
-        node = Node(tag, stack[-1], bonus, len(nodes))
-        nodes.append(node)
+        node = Node(tag, stack[-1], bonus, len(nodes), out)
+        if not out:
+            nodes.append(node)
         stack.append(node)
         open_[tag] = open_.get(tag, 0) + 1
     flush()

@@ -124,6 +124,23 @@ def test_main_text(page, text):
     assert op01_html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article><div><p class="ad">Buy<p>Real one</p><p>Real two</p></div><p>Three</p></article>',
+         "Real one Real two Three"),
+        ('<article><ul><li class="share">Share<li>One<li>Two</ul><p>Three</p></article>', "One Two Three"),
+        ('<article><div><aside>Side<p>x</div><p>Text, long</p></article>', "Text, long"),
+        ('<article><p>A <span class="ad">Buy<p>Next</article>', "A Next"),
+        ("<article><ul><li><nav><li>x<div></nav>y</ul><p>z</p></article>", "y z"),
+        ('<article><table><tr><td class="ad">x<td>y<tr><td>z</table></article>', "y z"),
+        ("<article><span>a<aside>x</span>y</aside>b</span></article>", "a b"),
+    ],
+)
+def test_what_is_left_out_ends_like_what_is_kept(page, text):
+    assert op01_html.main_text(page) == text
+
+
 def test_html_query_reads_every_article_whole(spark):
     import html
 
