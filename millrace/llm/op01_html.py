@@ -4,7 +4,7 @@ A page is read once into a tree of elements and text blocks. Every block passes
 length and commas to its ancestors (all to the nearest, half to the next, then less), discounted
 by the share of its characters that are link text. The container with the most points and those
 of its siblings that score near it, or are headings, are kept; a container inside an <article>
-stands for that article. Elements that are no article text by tag, role or class (menus,
+stands for the outermost such article, whose siblings are kept by the same rule. Elements that are no article text by tag, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, reader comments) are left out
 before scoring.
 
@@ -270,14 +270,14 @@ def main_text(page: str | None) -> str:
 
     best = max(nodes, key=score)  # the first of equals
     up = best
-    while up is not None and up.tag != "article":
+    while up is not None:  # the outermost article
+        best = up if up.tag == "article" else best
         up = up.parent
-    best = up or best
     kept, least = {best.where}, SIBLING_SHARE * score(best)
-    if best.parent is not None and best.tag != "article":
+    if best.parent is not None:
         for n in nodes:
             if n.parent is best.parent and n.size:
-                if score(n) >= least > 0 or _HEADING.match(n.tag):
+                if score(n) >= least > 0 or _HEADING.match(n.tag) or n.tag in ("header", "hgroup"):
                     kept.add(n.where)
                 elif n.tag in ("p", "pre", "blockquote") and n.links * 2 < n.size:
                     kept.add(n.where)

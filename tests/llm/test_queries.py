@@ -141,6 +141,26 @@ def test_what_is_left_out_ends_like_what_is_kept(page, text):
     assert op01_html.main_text(page) == text
 
 
+BODY = "<p>Some text, of a sentence, with commas, that is long enough to count as one.</p>" * 3
+PLAIN = " ".join(["Some text, of a sentence, with commas, that is long enough to count as one."] * 3)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<main><h1>Title</h1><article>{BODY}</article></main>", f"Title {PLAIN}"),
+        (f"<main><header><h1>Title</h1></header><article>{BODY}</article></main>", f"Title {PLAIN}"),
+        (f"<main><article>{BODY}</article><article>{BODY}</article></main>", f"{PLAIN} {PLAIN}"),
+        (f"<main><article>{BODY}</article><p>And so on.</p></main>", f"{PLAIN} And so on."),
+        (f"<article><h1>Title</h1><article>{BODY}</article><p>End.</p></article>", f"Title {PLAIN} End."),
+        (f"<body><nav>no</nav><article>{BODY}</article><div class=comments>no, no, no</div></body>", PLAIN),
+        (f"<main><article>{BODY}</article><ul><li><a href=x>Other page</a></ul></main>", PLAIN),
+    ],
+)
+def test_siblings_of_an_article(page, text):
+    assert op01_html.main_text(page) == text
+
+
 def test_html_query_reads_every_article_whole(spark):
     import html
 
