@@ -39,18 +39,22 @@ _ATTRIBUTE = re.compile(
     r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE
 )
 
-RAW = frozenset("script style noscript iframe xmp noembed noframes title textarea".split())
+RAW = frozenset("script style noscript iframe noembed noframes title textarea".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 DROPPED = frozenset(
-    "nav footer aside form button select datalist svg math canvas object audio video template "
+    "nav footer aside form button select datalist svg canvas object audio video template "
     "dialog menu head applet map fieldset".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter "
     "nobr output progress q ruby rb rp rt s samp small span strike strong sub sup time tt u var "
-    "wbr input".split()
+    "wbr input "
+    # Formulas: math and what it holds.
+    "math mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover "
+    "mmultiscripts mprescripts none mtable mtr mtd mstyle mpadded mphantom merror semantics "
+    "annotation annotation-xml".split()
 )
 # An open p ends where any element starts that is not inline; these end their like, too.
 ENDS_LIKE = {
@@ -70,7 +74,8 @@ _ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
     "form toolbar".split()
 )
-# Words of class and id, split at all that is no letter or digit.
+# Whole names of a class or id. A name of several words (site-nav, ad_slot_2) is unwanted if each
+# of its words is, or says only what kind of box it is; one with other words is not.
 _UNWANTED = re.compile(
     r"(?:ad|ads|adv|adbox|adslot|adunit|advert\w*|sponsor\w*|promo\w*|banner\w*|nav|navbar\w*|navigation|menu\w*|"
     r"breadcrumb\w*|sidebar\w*|sidenav|aside|footer|siteheader|masthead|topbar|toolbar|cookie\w*|consent|gdpr|notice\w*|"
@@ -79,7 +84,20 @@ _UNWANTED = re.compile(
     r"search|searchbox|skip|hidden|disclaimer|alert)\Z"
 )
 _COMMENTS = re.compile(r"(?:comment\w*|disqus\w*|respond|replies|reply|discussion)\Z")
-_WANTED = re.compile(r"(?:article\w*|content\w*|main\w*|story\w*|post\w*|entry\w*|text\w*|body)\Z")
+_WANTED = re.compile(r"(?:article|content|main|story|post|entry|text|body)\Z")
+_BOX = re.compile(
+    r"(?:area|bar|block|box|btns?|buttons?|container|form|group|holder|icons?|inner|item|items|left|"
+    r"links?|list|lists|module|outer|page|panel|posts|articles|stories|primary|right|row|secondary|"
+    r"section|site|slot|thread|top|bottom|unit|wrap|wrapper|global|header|[0-9]+)\Z"
+)
+# Parts of a page's text are often named after what they are about: no id of these is judged, and
+# of other elements not these ids.
+_TEXT = re.compile(r"(?:h[1-6]|p|pre|blockquote)\Z")
+_TOPICS = re.compile(
+    r"(?:discussion|related|search|share|sharing|alert|notice\w*|disclaimer|navigation|subscription|"
+    r"consent|respond|reply|replies|recommend\w*|social\w*|advert\w*)\Z"
+)
+_SAYS_HOW = re.compile(r"(?:no|has|with|without)[-_]")
 _HEADING = re.compile(r"h[1-6]\Z")
 
 # Scoring: points at most for length, characters a point, bonus of wanted containers, and what
@@ -117,18 +135,35 @@ def _look(tag: str, attrs: str, in_article: bool) -> tuple[bool, float]:
         return True, 0.0
     if found.get("role") in _ROLES or re.search(r"display\s*:\s*none", found.get("style", "")):
         return True, 0.0
-    words = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}")
-    if any(_COMMENTS.match(w) for w in words):
+    classes, ids = found.get("class", "").split(), found.get("id", "").split()
+    if tag in ("article", "main") or any(_wanted(n) for n in (*classes, *ids)):
+        return False, BONUS
+    names = classes
+    if not _TEXT.match(tag):
+        names = classes + [n for n in ids if not _TOPICS.match(n)]
+    if any(_unwanted(n) or n == "header" and not in_article for n in names):
         return True, 0.0
-    if tag not in ("article", "main"):
-        own = in_article or not {"post", "article", "entry", "story"}.isdisjoint(words)
-        if any(_UNWANTED.match(w) for w in words) or "header" in words and not own:
-            return True, 0.0
-    if any(_WANTED.match(w) for w in words):
-        bonus = BONUS
     return False, bonus
 
 
+def _wanted(name: str) -> bool:
+    """Whether it names a container of text, such as content or post-body."""
+    return all(_WANTED.match(w) for w in re.split(r"[-_]+", name))
+
+
+def _unwanted(name: str) -> bool:
+    """Whether it names what is no article text, such as ad, comment-list or site-header."""
+    if _SAYS_HOW.match(name):
+        return False
+    words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+    bad = [bool(_UNWANTED.match(w) or _COMMENTS.match(w)) for w in words]
+    # post-comments, article-share: what belongs to the article, but is not its text.
+    rest = words[1:] if len(words) > 1 and _WANTED.match(words[0]) else words
+    if "header" in words and len(words) > 1 and words[0] in ("site", "page", "global"):
+        return True
+    return any(bad) and all(b or _BOX.match(w) for w, b in zip(words[-len(rest) :], bad[-len(rest) :]))
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
     """Elements in page order, and text blocks with their link characters and element."""
     root = Node("#root", None, 0.0, 0)
@@ -191,10 +226,18 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
             continue
         if not m.group(0).endswith(">"):
             break  # the page ends inside a tag
-        if tag in RAW and not m["end"]:
+        if (tag in RAW or tag == "xmp") and not m["end"]:
             if tag not in for_raw:
                 for_raw[tag] = re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.IGNORECASE)
             closing = for_raw[tag].search(page, at)
+            if tag == "xmp":  # text as it stands
+                if open_.get("p"):
+                    flush()
+                    close(frozenset({"p"}), STOPS)
+                flush()
+                if not stack[-1].dropped:
+                    pieces.append((page[at : closing.start() if closing else end], False))
+                flush()
             at = closing.end() if closing else end
             continue
         if tag == "br" or tag == "hr":

@@ -161,6 +161,29 @@ def test_siblings_of_an_article(page, text):
     assert op01_html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<div class="content no-sidebar">{BODY}</div>', PLAIN),
+        (f'<div class="entry has-share">{BODY}</div>', PLAIN),
+        (f'<div class="post with_comments"><div class="no-ads">{BODY}</div></div>', PLAIN),
+        (f'<article class="post no-comments">{BODY}</article>', PLAIN),
+        (f'<article class="comments-open sidebar" id="reply">{BODY}</article>', PLAIN),
+        (f'<article>{BODY}<section id="discussion"><h2 id="related-work">Related</h2>{BODY}</section>'
+         '<h2 id="share">Share</h2><p id="notice-1">Note</p></article>', f"{PLAIN} Related {PLAIN} Share Note"),
+        ("<article><p>If <math><mi>x</mi><mo>&lt;</mo><mn>1</mn></math> then</p><xmp><b>&amp;</xmp>end</article>",
+         "If x<1 then <b>&amp; end"),
+        ("<article><p>a</p><div class=ad><xmp>b</xmp><math><mi>c</mi></math></div><p>d</p></article>", "a d"),
+        *((f'<article><p>a</p><div {x}>no</div><p>b</p></article>', "a b") for x in (
+            "class=ad", "class=ad-slot", 'class="x comments-area"', "class=post-comments", "id=comments", "id=comment-list",
+            "class=related-posts", "class=share-buttons", "class=site-header", "id=cookie-notice", "class=entry-share",
+            "id=sidebar", "class=newsletter-signup", "class=nav_menu_2", "id=disqus_thread", "class=social-links")),
+    ],
+)
+def test_names_of_text_are_not_taken_for_notices(page, text):
+    assert op01_html.main_text(page) == text
+
+
 def test_html_query_reads_every_article_whole(spark):
     import html
 
