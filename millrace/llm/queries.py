@@ -17,6 +17,7 @@ from millrace.llm import (
     op08_quality,
     op09_pii,
     op10_dartminhash,
+    op11_merkle,
 )
 from millrace.sources import read_table
 
@@ -65,6 +66,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_merkle.proofs(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_urls": op2_urls,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pii": op9_pii,
     "op10_dartminhash": op10_near_duplicates,
+    "op11_merkle": op11_merkle_manifest,
 }
 
 # The others are tested against brute force: SQL has no trained model or tree to offer.
@@ -83,4 +89,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_mix": op03_mix.MIX_SQL,
     "op7_chat": op07_chat.CHAT_SQL,
     "op8_quality": op08_quality.QUALITY_SQL,
+    "op11_merkle": op11_merkle.MERKLE_SQL,
 }
