@@ -1,15 +1,21 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
 Texts are cut into pre-tokens (the pattern's matches; "words" here). A block is what one task
-reads, up to BLOCK_CHARS characters. In a block every distinct word gets a number, and a text
-becomes the list of its words' numbers in order: words exploded with positions, the positions of
-a block packed together. The distinct words of all blocks are then shuffled by word, so that each
-is encoded once, by its task, for all texts; its ids go back to the blocks that hold it, and each
-text's ids are put together by position. Decoding looks the ids up in the table of token bytes.
+reads until the words and numbers it holds come to BLOCK_BYTES. In a block every distinct word gets
+a number, and a text becomes the list of its words' numbers in order: words exploded with
+positions, the positions of a block packed together. The distinct words of all blocks are then
+shuffled by word, so that each is encoded once, by its task, for all texts; its ids go back to the
+blocks that hold it, and each text's ids are put together by position. Decoding looks the ids up in
+the table of token bytes.
+
+A text of more than CHUNK_CHARS is cut where no match can go on (before white space, between
+letters and digits); its parts are rows with a position, in whichever blocks they fall, and are put
+together at the end. So memory holds a block, whatever words it has and however long a text is;
+only a run without any such place (one word of millions of letters) is held whole.
 
 A word that is in every text costs one row a block. Blocks are stored in a bucketed table in the
-shared folder, so that the way back shuffles ids only, not texts. Memory holds a block's numbers
-and distinct words; a longer text is a block of its own.
+shared folder, so that the way back shuffles ids only, not texts. Its buckets are no more than the
+session allows, and it leaves the catalog at once; its files stay like those of other tables.
 
 Cases: a null or empty text has no ids; null ids and repeated rows each get their row; an empty
 table gives no rows. Only doc_id and text are read. No special tokens.
@@ -32,11 +38,13 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LAST_WORD_POINT, chunks, pick, shared_dir
+from millrace.llm.common import LAST_WORD_POINT, chunks, durable, pick, shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CHUNK_CHARS = 2_000_000
-BLOCK_CHARS = 96_000_000
+# What a block's words and numbers take; a word costs about WORD_BYTES besides its own.
+BLOCK_BYTES = 96 << 20
+WORD_BYTES = 120
 # Scans in smaller splits are joined to about so many bytes a task: larger blocks share more words.
 SPLIT_BYTES = 48 << 20
 
@@ -59,9 +67,11 @@ def _classes() -> np.ndarray:
     return table
 
 
-def words_of(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+def words_of(texts: list[str], classes: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
     """The matches of public_tokenizers.PATTERN in all texts, as bytes, and how many each text has.
 
+    classes says what each code point is (LETTER, NUMBER, OTHER or SPACE), if not Python's Unicode.
+
     Runs of letters, of numbers and of other characters are words, with one blank before them. Of
     white space before another character the last one stands apart; 's 't 're 've 'm 'll 'd are
     words where a word begins with the apostrophe.
@@ -72,7 +82,7 @@ def words_of(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     lengths = np.array([len(t) for t in texts], np.int64)
     between = np.cumsum(lengths + 1)[:-1] - 1
     kind = np.empty(n + 1, np.uint8)
-    kind[:n] = _classes()[points]
+    kind[:n] = (_classes() if classes is None else classes)[points]
     kind[between] = BETWEEN
     kind[n] = BETWEEN
     begins = np.ones(n + 1, bool)
@@ -106,91 +116,151 @@ def words_of(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     return array.filter(pa.array(is_word)), np.bincount(text_of, minlength=len(texts))
 
 
-BLOCK = "block bigint, doc_id bigint, codes binary, word binary, number bigint"
+def _last_cut(text: str) -> int:
+    """The last place where a match ends for certain and another begins; 0 if there is none."""
+    kind = _classes()[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+    one, two = kind[:-1], kind[1:]
+    # Not after other characters: an apostrophe may take letters with it.
+    safe = ((one != SPACE) & (two == SPACE)) | ((one < OTHER) & (two < SPACE) & (one != two))
+    at = np.flatnonzero(safe)
+    return int(at[-1]) + 1 if len(at) else 0
+
+
+def parts_of(text: str, most: int = CHUNK_CHARS) -> list[str]:
+    """The text in parts of at most most characters, which have the matches that it has."""
+    parts, start = [], 0
+    while len(text) - start > most:
+        size, end = most, 0
+        while not end and start + size < len(text):
+            end = _last_cut(text[start : start + size + 1])
+            size *= 2
+        if not end:
+            break
+        parts.append(text[start : start + end])
+        start += end
+    parts.append(text[start:] if start else text)
+    return parts
+
+
+def in_parts(
+    batches: Iterator[pa.RecordBatch], most: int = CHUNK_CHARS
+) -> Iterator[tuple[list[int], list[str], list[int], list[int], pa.RecordBatch]]:
+    """Pieces of about most characters: for each text or part of one the row of the batch, the
+    characters, its position among the text's parts, how many these are; and the batch."""
+    for batch, texts in chunks(batches, "text", most):
+        if len(texts) == 1 and len(texts[0]) > most:
+            parts = parts_of(texts[0], most)
+            for i, part in enumerate(parts):
+                yield [0], [part], [i], [len(parts)], batch
+        else:
+            yield list(range(len(texts))), texts, [0] * len(texts), [1] * len(texts), batch
+
+
+BLOCK = (
+    "block bigint, row bigint, doc_id bigint, part int, parts int, codes binary, word binary, "
+    "number bigint"
+)
+_BLOCK = pa.schema(
+    [("block", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("part", pa.int32()),
+     ("parts", pa.int32()), ("codes", pa.binary()), ("word", pa.binary()), ("number", pa.int64())]
+)
 
 
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks as rows: one a text (doc_id, codes), one a distinct word (word, number)."""
-    schema = pa.schema(
-        [("block", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.binary()),
-         ("word", pa.binary()), ("number", pa.int64())]
-    )
-    ids: list[pa.Array] = []
-    counts: list[np.ndarray] = []
-    parts: list[pa.DictionaryArray] = []
-    chars = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if not ids:
-            return
+class _Block:
+    """Texts as numbers of their words; one dictionary, which grows."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.uses = np.zeros(0, np.int64)
+        self.texts: list[tuple] = []
+        self.bytes = 0
+
+    def add(self, rows: pa.Array, docs: pa.Array, part: list[int], parts: list[int], texts: list[str]) -> None:
+        words, n = words_of(texts)
+        coded = words.dictionary_encode()
+        del words
+        number, before = self.number, len(self.number)
+        own = np.array([number.setdefault(w, len(number)) for w in coded.dictionary.to_pylist()], np.uint32)
+        codes = own[coded.indices.to_numpy()] if len(own) else np.zeros(0, np.uint32)
+        uses = np.bincount(codes, minlength=len(number))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        self.texts.append((rows, docs, part, parts, n, codes))
+        self.bytes += codes.nbytes + (len(number) - before) * WORD_BYTES
+        self.bytes += coded.dictionary.nbytes if len(number) > before else 0
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """A row a text or part (codes) and one a distinct word (word, number)."""
         block = uuid.uuid4().int >> 65
-        coded = pa.chunked_array(parts).unify_dictionaries()
-        parts.clear()
-        words = coded.chunk(0).dictionary
-        codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
-        del coded
         # Frequent words get small numbers, whose upper bytes are 0.
-        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.uint32)
-        rank[order] = np.arange(len(words), dtype=np.uint32)
-        codes = rank[codes]
-        width = max(1, -(-len(words).bit_length() // 8))  # bytes that a number needs
-        docs = pa.concat_arrays(ids)
-        ends = np.cumsum(np.concatenate(counts))
-        for start in range(0, len(docs), 1000):
-            stop = min(start + 1000, len(docs))
-            packed = [
-                # All lowest bytes, then all second ones...: like bytes compress together.
-                codes[a:b].view(np.uint8).reshape(-1, 4).T[:width].tobytes()
-                for a, b in zip(np.append(0, ends)[start:stop], ends[start:stop])
-            ]
-            k = stop - start
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, block)), docs.slice(start, k), pa.array(packed, pa.binary()),
-                 pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())], schema=schema,
-            )
-        words = words.take(pa.array(order))
+        order = np.argsort(-self.uses, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        width = max(1, -(-len(order).bit_length() // 8))  # bytes that a number needs
+        for rows, docs, part, parts, n, codes in self.texts:
+            codes = rank[codes] if len(codes) else codes
+            ends = np.cumsum(n)
+            for start in range(0, len(rows), 1000):
+                stop = min(start + 1000, len(rows))
+                packed = [
+                    # All lowest bytes, then all second ones...: like bytes compress together.
+                    codes[a:b].view(np.uint8).reshape(-1, 4).T[:width].tobytes()
+                    for a, b in zip(np.append(0, ends)[start:stop], ends[start:stop])
+                ]
+                k = stop - start
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(k, block)), rows.slice(start, k), docs.slice(start, k),
+                     pa.array(part[start:stop], pa.int32()), pa.array(parts[start:stop], pa.int32()),
+                     pa.array(packed, pa.binary()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())],
+                    schema=_BLOCK,
+                )
+        words = np.array(list(self.number), object)
         for start in range(0, len(words), 50_000):
-            part = words.slice(start, 50_000)
+            part = pa.array(words[order[start : start + 50_000]], pa.binary())
             k = len(part)
+            none = [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, block)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
-                 part, pa.array(np.arange(start, start + k))], schema=schema,
+                [pa.array(np.full(k, block)), *none, part, pa.array(np.arange(start, start + k))],
+                schema=_BLOCK,
             )
-        ids.clear(), counts.clear()
-        pa.default_memory_pool().release_unused()
 
-    for batch, texts in chunks(batches, "text", CHUNK_CHARS):
-        words, n = words_of(texts)
-        ids.append(batch["doc_id"])
-        counts.append(n)
-        parts.append(words.dictionary_encode())
-        chars += sum(map(len, texts))
-        if chars >= BLOCK_CHARS:
-            yield from flush()
-            chars = 0
-    yield from flush()
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = _Block()
+    for rows, texts, part, parts, batch in in_parts(batches):
+        at = pa.array(rows)
+        block.add(batch["row"].take(at), batch["doc_id"].take(at), part, parts, texts)
+        if block.bytes >= BLOCK_BYTES:
+            yield from block.rows()
+            block = _Block()
+            pa.default_memory_pool().release_unused()
+    if block.texts:
+        yield from block.rows()
 
 
 def blocks(docs: DataFrame) -> DataFrame:
     """The blocks of docs as a table bucketed by block: BLOCK."""
     spark = docs.sparkSession
-    rows = pick(docs, "doc_id", "text")
+    rows = pick(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     split_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split))
     n = rows.rdd.getNumPartitions()
     joined = max(spark.sparkContext.defaultParallelism, n // max(1, SPLIT_BYTES // split_bytes))
     if joined < n:
         rows = rows.coalesce(joined)
+    allowed = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
     name = f"millrace_blocks_{uuid.uuid4().hex}"
     (
         rows.mapInArrow(_block_rows, BLOCK)
         .write.option("compression", "zstd")
         .option("path", shared_dir(spark))
-        .bucketBy(max(1, min(n, joined) * 4), "block")
+        .bucketBy(max(1, min(min(n, joined) * 4, allowed)), "block")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    table = spark.table(name)
+    # The files are the table's own folder's and stay; only the name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 @functools.cache
@@ -247,14 +317,16 @@ def word_ids(words: DataFrame, ranks: str = RANKS) -> DataFrame:
     )
 
 
-Finish = Callable[[pa.Array, Iterator[np.ndarray]], pa.Table]
+# One row a text or part; n, digests and ids are what finish() gives.
+PART = "row bigint, doc_id bigint, part int, parts int"
+Finish = Callable[[pa.Table, Iterator[np.ndarray]], pa.Table]
 
 
 def assemble(docs: DataFrame, finish: Finish, schema: str, ranks: str = RANKS) -> DataFrame:
-    """What finish makes of each block's doc_ids and their ids in order."""
+    """What finish makes of each block's rows (PART) and their ids in order, as a written table."""
     table = blocks(docs)
     words = table.where("word IS NOT NULL").select("block", "number", "word")
-    texts = table.where("word IS NULL").select("block", "doc_id", "codes")
+    texts = table.where("word IS NULL").select("block", "row", "doc_id", "part", "parts", "codes")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         lists = right["ids"].combine_chunks()
@@ -276,20 +348,45 @@ def assemble(docs: DataFrame, finish: Finish, schema: str, ranks: str = RANKS) -
                 codes[:, :width] = planes.T
                 yield gather(values, first, size, codes.view("<u4")[:, 0])
 
-        return finish(left["doc_id"], ids())
+        return finish(left.select(["row", "doc_id", "part", "parts"]), ids())
 
-    return (
-        texts.groupBy("block").cogroup(word_ids(words, ranks).groupBy("block")).applyInArrow(run, schema)
+    return durable(
+        texts.groupBy("block").cogroup(word_ids(words, ranks).groupBy("block")).applyInArrow(
+            run, f"{PART}, {schema}"
+        )
     )
 
 
+def in_pieces(
+    rows: pa.Table, ids: Iterator[np.ndarray], columns: dict[str, pa.DataType], make: Callable
+) -> pa.Table:
+    """rows with what make(ids, is one of several parts) gives for columns, a few rows at a time,
+    so that the ids of a block are held once."""
+    schema = pa.schema([*rows.schema, *columns.items()])
+    done, start = [], 0
+    split = (rows["parts"].to_numpy() > 1).tolist()
+    while start < len(rows):
+        made = [make(x, split[start + i]) for i, x in enumerate(itertools.islice(ids, 500))]
+        own = rows.slice(start, len(made))
+        new = [pa.array(c, k) for c, k in zip(zip(*made), columns.values())]
+        done.append(pa.table([*own.columns, *new], schema=schema))
+        start += len(made)
+    return pa.concat_tables(done) if done else schema.empty_table()
+
+
 def encode_texts(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
     """doc_id and ids of each row."""
 
-    def finish(doc_ids: pa.Array, ids: Iterator[np.ndarray]) -> pa.Table:
-        return pa.table({"doc_id": doc_ids, "ids": pa.array(list(ids), pa.list_(pa.int32()))})
+    def finish(rows: pa.Table, ids: Iterator[np.ndarray]) -> pa.Table:
+        return in_pieces(rows, ids, {"ids": pa.list_(pa.int32())}, lambda x, _: (x.astype(np.int32),))
 
-    return assemble(docs, finish, "doc_id bigint, ids array<int>", ranks)
+    done = assemble(docs, finish, "ids array<int>", ranks)
+    several = done.where("parts > 1").groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("all")
+    )
+    return done.where("parts = 1").select("doc_id", "ids").unionByName(
+        several.select("doc_id", F.flatten(F.transform("all", lambda x: x["ids"])).alias("ids"))
+    )
 
 
 def decode_texts(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
@@ -308,31 +405,56 @@ def decode_texts(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
     return pick(encoded, "doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
 
 
-DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def digests(docs: DataFrame, ranks: str = RANKS, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of what they decode to, a row per row; with
     with_ids the ids, too."""
-    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
-    if with_ids:
-        kinds["ids"] = pa.list_(pa.int32())
-    schema = pa.schema([("doc_id", pa.int64()), *kinds.items()])
-
-    def finish(doc_ids: pa.Array, ids: Iterator[np.ndarray]) -> pa.Table:
-        done, start = [], 0
-        # In pieces, so that the ids of a block are held once.
-        while start < len(doc_ids):
-            rows = [
-                (len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
-                 hashlib.sha256(decode(x, ranks)).hexdigest(), x.astype(np.int32))
-                for x in itertools.islice(ids, 500)
-            ]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())]
-            own = doc_ids.slice(start, len(rows)).combine_chunks()
-            own = own if isinstance(own, pa.ChunkedArray) else pa.chunked_array([own])
-            done.append(pa.table([own, *columns], schema=schema))
-            start += len(rows)
-        return pa.concat_tables(done) if done else schema.empty_table()
-
-    return assemble(docs, finish, DIGESTS + (", ids array<int>" if with_ids else ""), ranks)
+    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(),
+             "ids": pa.list_(pa.int32())}
+
+    def finish(rows: pa.Table, ids: Iterator[np.ndarray]) -> pa.Table:
+        def make(x: np.ndarray, split: bool) -> tuple:
+            if split:
+                return len(x), None, None, x.astype(np.int32)
+            return (
+                len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
+                hashlib.sha256(decode(x, ranks)).hexdigest(), x.astype(np.int32) if with_ids else None,
+            )
+
+        return in_pieces(rows, ids, kinds, make)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The parts of a text come one after the other and are digested as they come."""
+        schema = pa.schema([("doc_id", pa.int64()), *list(kinds.items())[: 4 if with_ids else 3]])
+        for batch in batches:
+            for doc, part, parts, values in zip(
+                *(batch[c].to_pylist() for c in ("doc_id", "part", "parts")), batch["ids"]
+            ):
+                x = values.values.to_numpy().astype("<u4")
+                if part == 0:
+                    count, one, two, held = 0, hashlib.sha256(), hashlib.sha256(), []
+                count += len(x)
+                one.update(x.tobytes())
+                two.update(decode(x, ranks))
+                if with_ids:
+                    held.append(values.values)
+                if part == parts - 1:
+                    row = [[doc], [count], [one.hexdigest()], [two.hexdigest()]]
+                    arrays = [pa.array(c, f.type) for c, f in zip(row, schema)]
+                    if with_ids:
+                        whole = pa.concat_arrays(held)
+                        arrays.append(pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole))
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    done = assemble(docs, finish, f"{DIGESTS}, ids array<int>", ranks)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
+    several = (
+        done.where("parts > 1")
+        .select("row", "doc_id", "part", "parts", "ids")
+        .repartition("row")
+        .sortWithinPartitions("row", "part")
+        .mapInArrow(together, f"doc_id bigint, {DIGESTS}" + (", ids array<int>" if with_ids else ""))
+    )
+    return done.where("parts = 1").select(*names).unionByName(several)

@@ -18,6 +18,7 @@ from millrace.llm import (
     op09_pii,
     op10_dartminhash,
     op11_merkle,
+    op13_packing,
 )
 from millrace.sources import read_table
 
@@ -70,6 +71,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_merkle.proofs(read_table(spark, sf_dir, "documents"))
 
 
+def op13_packing_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_urls": op2_urls,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_dartminhash": op10_near_duplicates,
     "op11_merkle": op11_merkle_manifest,
+    "op13_packing": op13_packing_tiers,
 }
 
 # The others are tested against brute force: SQL has no trained model or tree to offer.
