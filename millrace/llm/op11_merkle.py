@@ -28,6 +28,7 @@ from millrace.llm.common import durable, pick
 # Fixed values of the contract: the columns of a leaf, in order.
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 FANOUT = 2
+WRITTEN_LEVELS = 4
 
 
 def hexed(digest: Column) -> Column:
@@ -159,7 +160,8 @@ def with_paths(tables: list[DataFrame], roots: DataFrame, fanout: int = FANOUT)
             step = F.array(F.struct("before", "after"))
             below = below.withColumn("path", F.concat(step, F.col("path")))
             here = below.unionByName(here)
-        paths = here
+        # Written now and then, so that no plan grows with the height of the tree.
+        paths = durable(here) if level and level % WRITTEN_LEVELS == 0 else here
     return paths
 
 
@@ -205,10 +207,9 @@ def manifest(
         tops = ends if tops is None else tops.unionByName(ends)
     tops = durable(tops)
     # The second tree: all groups' roots are its leaves, in the order of the groups.
-    count = groups.agg(F.count("*").alias("n"))
     upper = levels(
-        tops.join(F.broadcast(count)).select(
-            F.lit(0).cast("bigint").alias("g"), F.col("g").alias("at"), "n", "digest", "level",
+        tops.select(
+            F.lit(0).cast("bigint").alias("g"), F.col("g").alias("at"), F.lit(groups.count()).alias("n"), "digest", "level",
             F.col("g").alias("whose"),
         ),
         fanout,
