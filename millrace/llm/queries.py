@@ -18,6 +18,7 @@ from millrace.llm import (
     op09_pii,
     op10_dartminhash,
     op11_merkle,
+    op12_phrases,
     op13_packing,
 )
 from millrace.sources import read_table
@@ -71,6 +72,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_merkle.proofs(read_table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_packing_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_packing.pack(read_table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_dartminhash": op10_near_duplicates,
     "op11_merkle": op11_merkle_manifest,
+    "op12_phrases": op12_phrase_collocations,
     "op13_packing": op13_packing_tiers,
 }
 
@@ -96,4 +102,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_chat": op07_chat.CHAT_SQL,
     "op8_quality": op08_quality.QUALITY_SQL,
     "op11_merkle": op11_merkle.MERKLE_SQL,
+    "op12_phrases": op12_phrases.PHRASES_SQL,
 }
