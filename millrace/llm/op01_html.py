@@ -6,7 +6,8 @@ by the share of its characters that are link text. The container with the most p
 of its siblings that score near it, or are headings, are kept; a container inside an <article>
 stands for the outermost such article, whose siblings are kept by the same rule. Elements that are no article text by tag, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, reader comments) are left out
-before scoring.
+before scoring; a form around the article itself is only a wrapper. Tags and attributes are read
+by the rules of HTML, in time proportional to the page.
 
 Each page is extracted by itself: no shuffle, memory bounded by the longest page.
 
@@ -28,23 +29,26 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import pick
 
+# One attribute: a name, then perhaps a value. Only right after = does a quote open a value.
+_ATTRIBUTE = re.compile(
+    r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+|(?=>|\Z)))?+"""
+)
+_UNNAMED = _ATTRIBUTE.pattern.replace("([^\\s/>]", "(?:[^\\s/>]").replace('("[^"]*+', '(?:"[^"]*+')
 _MARKUP = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))"""
     r"""|<[!?][^>]*+(?:>|\Z)"""
-    r"""|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)"""
+    rf"""|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[\s/]++|{_UNNAMED})*+)(?:>|\Z)"""
     r"""|</[^>]*+(?:>|\Z)""",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(
-    r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE
-)
+_READ = frozenset("class id role style hidden aria-hidden".split())
 
 RAW = frozenset("script style noscript iframe noembed noframes title textarea".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 DROPPED = frozenset(
-    "nav footer aside form button select datalist svg canvas object audio video template "
+    "nav footer aside button select datalist svg canvas object audio video template "
     "dialog menu head applet map fieldset".split()
 )
 INLINE = frozenset(
@@ -68,7 +72,7 @@ ENDS_LIKE = {
 }
 SCOPES = frozenset("ul ol dl table article section div main body html".split())
 # What the start of an element ends lies inside these.
-STOPS = SCOPES | DROPPED | {"header"}
+STOPS = SCOPES | DROPPED | {"header", "form"}
 
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar "
@@ -106,7 +110,7 @@ MOST_LENGTH_POINTS, CHARS_A_POINT, BONUS, SIBLING_SHARE, LEVELS = 3.0, 100, 0.25
 
 
 class Node:
-    __slots__ = ("bonus", "dropped", "links", "parent", "points", "size", "tag", "where")
+    __slots__ = ("bonus", "dropped", "form", "holder", "links", "parent", "points", "size", "tag", "where")
 
     def __init__(
         self, tag: str, parent: Node | None, bonus: float, where: int, dropped: bool = False
@@ -115,10 +119,33 @@ class Node:
         self.dropped = dropped  # left out, or inside an element that is
         self.points = 0.0
         self.size = self.links = 0
+        # The nearest element that is not inline, and the outermost form, from this one upwards.
+        self.holder: Node = parent.holder if parent is not None and tag in INLINE else self
+        self.form: Node | None = parent.form if parent is not None else None
+        if self.form is None and tag == "form":
+            self.form = self
 
 
 def _attributes(attrs: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or "").strip("\"'").lower() for m in _ATTRIBUTE.finditer(attrs)}
+    """The attributes that are judged, in lower case; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attrs):
+        name = m[1].lower()
+        if name in _READ:
+            value = m[2] or ""
+            quoted = value[:1] in ("'", '"')
+            found.setdefault(name, (value[1:-1] if quoted and value[-1] == value[0] and len(value) > 1 else value.lstrip("\"'")).lower())
+    return found
+
+
+def _closes_itself(attrs: str) -> bool:
+    """Whether the tag ends in a slash that belongs to no attribute."""
+    if not attrs.endswith("/"):
+        return False
+    last = 0
+    for m in _ATTRIBUTE.finditer(attrs):
+        last = m.end()
+    return last < len(attrs)
 
 
 def _look(tag: str, attrs: str, in_article: bool) -> tuple[bool, float]:
@@ -169,7 +196,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
     root = Node("#root", None, 0.0, 0)
     nodes, blocks = [root], []
     stack: list[Node] = [root]
-    open_: dict[str, int] = {}
+    # Where in the stack the open elements of each tag, and those of SCOPES and STOPS, are.
+    open_: dict[str, list[int]] = {}
+    scopes: list[int] = []
+    stops: list[int] = []
     pieces: list[tuple[str, bool]] = []
 
     def flush() -> None:
@@ -177,39 +207,48 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
             text = " ".join("".join(t for t, _ in pieces).split())
             if text:
                 links = sum(len("".join(t.split())) for t, linked in pieces if linked)
-                holder = next(n for n in reversed(stack) if n.tag not in INLINE)
-                blocks.append((text, min(links, len(text)), holder))
+                blocks.append((text, min(links, len(text)), stack[-1].holder))
             pieces.clear()
 
-    def pop() -> None:
-        tag = stack.pop().tag
-        open_[tag] -= 1
-
-    def close(tags: frozenset[str], stop: frozenset[str]) -> None:
-        """Ends the nearest open element of tags, and all inside it, unless stop comes first."""
-        if not any(open_.get(t) for t in tags):
-            return
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                while len(stack) > i:
-                    pop()
-                return
-            if stack[i].tag in stop:
-                return
+    def push(node: Node) -> None:
+        open_.setdefault(node.tag, []).append(len(stack))
+        if node.tag in STOPS:
+            stops.append(len(stack))
+            if node.tag in SCOPES:
+                scopes.append(len(stack))
+        stack.append(node)
+
+    def end_from(i: int) -> None:
+        """Ends the element at i of the stack and all inside it."""
+        while len(stack) > i:
+            tag = stack.pop().tag
+            open_[tag].pop()
+            if tag in STOPS:
+                stops.pop()
+                if tag in SCOPES:
+                    scopes.pop()
+
+    def last(of: list[int] | None) -> int:
+        return of[-1] if of else 0
+
+    def close(tags: frozenset[str], stop: list[int]) -> None:
+        """Ends the nearest open element of tags, and all inside it, unless a stop is nearer."""
+        i = max(last(open_.get(t)) for t in tags)
+        if i and i >= last(stop):
+            end_from(i)
 
     def close_dropped(tag: str) -> bool:
         """Ends the nearest open tag among what is left out; True if that, or nothing, is to end.
 
         The end of a block around what is left out ends both, that of an inline element does not.
         """
-        for i in range(len(stack) - 1, 0, -1):
-            if not stack[i].dropped:
-                return tag in INLINE and i < len(stack) - 1
-            if stack[i].tag == tag:
-                while len(stack) > i:
-                    pop()
-                return True
-        return False
+        if not stack[-1].dropped:
+            return False
+        i = last(open_.get(tag))
+        if i and stack[i].dropped:
+            end_from(i)
+            return True
+        return tag in INLINE
 
     at, end = 0, len(page)
     for_raw: dict[str, re.Pattern] = {}
@@ -233,7 +272,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
             if tag == "xmp":  # text as it stands
                 if open_.get("p"):
                     flush()
-                    close(frozenset({"p"}), STOPS)
+                    close(frozenset({"p"}), stops)
                 flush()
                 if not stack[-1].dropped:
                     pieces.append((page[at : closing.start() if closing else end], False))
@@ -251,37 +290,66 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, int, Node]]]:
             if close_dropped(tag):
                 continue
             if tag in INLINE:
-                close(frozenset({tag}), frozenset(t for t in SCOPES))
+                close(frozenset({tag}), scopes)
             else:
                 flush()
-                close(frozenset({tag}), frozenset() if tag in SCOPES else SCOPES - {tag})
+                close(frozenset({tag}), [] if tag in SCOPES or tag == "form" else scopes)
             continue
         if tag not in INLINE:
             flush()
             if open_.get("p"):
-                close(frozenset({"p"}), STOPS)
+                close(frozenset({"p"}), stops)
             if tag in ENDS_LIKE:
-                close(ENDS_LIKE[tag], STOPS)
+                close(ENDS_LIKE[tag], stops)
         inside = bool(open_.get("article") or open_.get("main"))
         within = stack[-1].dropped
         out, bonus = (True, 0.0) if within else _look(tag, m["attrs"], inside)
-        if m["attrs"].endswith("/") and (tag in DROPPED or stack[-1].dropped):
+        if (tag in DROPPED or stack[-1].dropped) and _closes_itself(m["attrs"]):
             continue
         if out:
             flush()
         node = Node(tag, stack[-1], bonus, len(nodes), out)
         if not out:
             nodes.append(node)
-        stack.append(node)
-        open_[tag] = open_.get(tag, 0) + 1
+        push(node)
     flush()
-    return nodes, blocks
+    return nodes, without_forms(nodes, blocks)
+
 
+Block = tuple[str, int, Node]
 
-def _holder(node: Node | None) -> Node | None:
-    while node is not None and node.tag in INLINE:
-        node = node.parent
-    return node
+
+def without_forms(nodes: list[Node], blocks: list[Block]) -> list[Block]:
+    """The blocks without those in forms, but for a form that is put around the text itself.
+
+    That is a form, not inside an article or main, that holds one, or whose paragraphs have more
+    text than all that stands outside of it.
+    """
+    forms = {n.form.where: n.form for n in nodes if n.form is not None}
+    if not forms:
+        return blocks
+    around: set[int] = set()
+    inside = dict.fromkeys(forms, 0)
+    paragraphs = dict.fromkeys(forms, 0)
+    total = 0
+    for n in nodes:
+        if n.form is not None and n.tag in ("article", "main"):
+            around.add(n.form.where)
+    for text, links, node in blocks:
+        total += len(text) - links
+        if node.form is not None:
+            inside[node.form.where] += len(text) - links
+            if node.tag in ("p", "pre", "blockquote"):
+                paragraphs[node.form.where] += len(text) - links
+    for where, form in forms.items():
+        if paragraphs[where] > total - inside[where]:
+            around.add(where)
+        up = form.parent
+        while up is not None:
+            if up.tag in ("article", "main"):
+                around.discard(where)
+            up = up.parent
+    return [b for b in blocks if b[2].form is None or b[2].form.where in around]
 
 
 def main_text(page: str | None) -> str:
@@ -295,12 +363,12 @@ def main_text(page: str | None) -> str:
         paid = (1 + text.count(",") + min(len(text) / CHARS_A_POINT, MOST_LENGTH_POINTS)) * (
             1 - links / len(text)
         )
-        own, to, level = node, _holder(node.parent) or node, 0
-        if own.tag in ("div", "article", "main", "section", "body", "#root", "blockquote"):
+        own, to, level = node, node.parent.holder if node.parent else node, 0
+        if own.tag in ("div", "article", "main", "section", "body", "#root", "blockquote", "form"):
             to = own  # text that stands in a container without a paragraph of its own
         while to is not None and level < LEVELS:
             to.points += paid / (level + 1 if level < 2 else 3 * level)
-            to, level = _holder(to.parent), level + 1
+            to, level = to.parent.holder if to.parent else None, level + 1
         own.size += len(text)
         own.links += links
     for node in reversed(nodes):
