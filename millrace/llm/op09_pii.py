@@ -19,7 +19,9 @@ empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
@@ -427,13 +429,21 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     result = []
     for text, more in zip(texts, field_spans(texts, field)):
         base = base_spans(text)
-        spans = base + [
-            a for a in more if not any(s < a[2] and a[0] < e for s, _, e in base)
-        ] if more else base
-        result.append((base, sorted(spans)))
+        result.append((base, sorted(base + apart_from(base, more))))
     return result
 
 
+def apart_from(base: list[Span], more: list[Span]) -> list[Span]:
+    """Those of more that overlap none of base; spans of base may overlap each other."""
+    if not base or not more:
+        return more
+    ordered = sorted(base)
+    starts = [s for s, _, _ in ordered]
+    # How far the spans reach that begin at or before each one.
+    reach = list(itertools.accumulate((e for _, _, e in ordered), max))
+    return [a for a in more if not (i := bisect.bisect_left(starts, a[2])) or reach[i - 1] <= a[0]]
+
+
 RESULT = (
     "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
     "base_sha256 string, spans string, n_added bigint"
