@@ -11,9 +11,10 @@ smaller one took. Above the source's own size every document is taken once and t
 decides which are taken a second time.
 
 Cases: a null text has size 0 and takes 0 words; a null source is a source of its own, after
-all others; null ids and repeated rows work, and rows equal in doc_id and text share one hash
-and one decision; a source whose texts are all empty gets target 0; an empty table gives no
-rows. Only doc_id, text and source are read for the decision.
+all others; null ids and repeated rows work: rows equal in doc_id and text share one hash, and
+where a budget ends among such rows, as many of them are taken as come nearest to it, no matter
+which; a source whose texts are all empty gets target 0; an empty table gives no rows. Only
+doc_id, text and source are read for the decision.
 """
 
 from __future__ import annotations
@@ -94,10 +95,11 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def thresholds(sizes: DataFrame, goals: DataFrame) -> DataFrame:
-    """source, source_size, target, floor_copies and threshold.
+    """source, source_size, target, floor_copies, threshold and split, as a written table.
 
-    Rows with h below threshold are taken once more than floor_copies. The running budget is
-    what is still to be filled after all buckets below the boundary bucket.
+    Rows with h below threshold are taken once more than floor_copies, and so are split of the
+    rows whose h is threshold. The running budget is what is still to be filled after all buckets
+    below the boundary bucket.
     """
     floor = F.when(F.col("target") >= F.col("source_size"), 1).otherwise(0)
     state = goals.select(
@@ -109,6 +111,7 @@ def thresholds(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("prefix"),
         F.lit(False).alias("closed"),
         F.lit(0).cast("bigint").alias("threshold"),
+        F.lit(0).cast("bigint").alias("split"),
     )
     state = durable(state)
     for level in range(1, HASH_HEX // LEVEL_HEX + 1):
@@ -123,11 +126,11 @@ def thresholds(sizes: DataFrame, goals: DataFrame) -> DataFrame:
             "left_semi",
         )
         histogram = inside.groupBy("source", F.shiftright("h", bits).alias("bucket")).agg(
-            F.sum("size").alias("tokens")
+            F.sum("size").alias("tokens"), F.count("*").alias("alike")
         )
         up_to = F.sum("tokens").over(Window.partitionBy("source").orderBy("bucket"))
         running = histogram.select(
-            F.col("source").alias("s"), "bucket", "tokens", up_to.alias("up_to")
+            F.col("source").alias("s"), "bucket", "tokens", "alike", up_to.alias("up_to")
         )
         # The boundary is the first bucket whose running sum passes the budget.
         joined = state.where(~F.col("closed")).join(
@@ -137,16 +140,17 @@ def thresholds(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         )
         boundary = joined.groupBy(
             "source", "source_size", "target", "floor_copies", "budget", "prefix"
-        ).agg(F.min(F.struct("bucket", "up_to", "tokens")).alias("b"))
+        ).agg(F.min(F.struct("bucket", "up_to", "tokens", "alike")).alias("b"))
         passed = F.col("b.bucket").isNotNull()
         left = F.col("budget") - (F.col("b.up_to") - F.col("b.tokens"))
         last = bits == 0
-        # At the last level one hash value is left: take it if that comes nearer.
-        nearer = (
-            F.when(2 * left > F.col("b.tokens"), F.col("b.bucket") + 1).otherwise(F.col("b.bucket"))
-            if last
-            else F.lit(0).cast("bigint")
-        )
+        # At the last level one hash value is left, of rows that are alike: take as many as come
+        # nearest. The bucket passes the budget, so its tokens are not 0.
+        each = F.col("b.tokens") / F.col("b.alike")
+        fitting = F.ceil(left / each - F.lit(0.5)) if last else F.lit(0)
+        whole = fitting >= F.col("b.alike")
+        edge = F.when(whole, F.col("b.bucket") + 1).otherwise(F.col("b.bucket")) if last else F.lit(0)
+        split = F.when(passed & ~whole, fitting).otherwise(0)
         refined = boundary.select(
             "source",
             "source_size",
@@ -156,19 +160,49 @@ def thresholds(sizes: DataFrame, goals: DataFrame) -> DataFrame:
             F.when(passed, F.col("b.bucket")).otherwise(F.col("prefix")).alias("prefix"),
             (~passed | F.lit(last)).alias("closed"),
             # A source whose budget is never passed is taken whole.
-            F.when(passed, nearer).otherwise(F.lit(1 << 60)).cast("bigint").alias("threshold"),
+            F.when(passed, edge).otherwise(F.lit(1 << 60)).cast("bigint").alias("threshold"),
+            split.cast("bigint").alias("split"),
         )
         state = durable(state.where("closed").unionByName(refined))
-    return state.select("source", "source_size", "target", "floor_copies", "threshold")
+    return state.select("source", "source_size", "target", "floor_copies", "threshold", "split")
 
 
 def decide(docs: DataFrame, limits: DataFrame) -> DataFrame:
     """docs (with source and h) and, from their source's row in limits, the copies to take."""
-    limits = limits.withColumnRenamed("source", "_source")
-    return docs.join(limits, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn(
+    own = limits.withColumnRenamed("source", "_source")
+    decided = docs.join(own, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn(
         "copies",
         F.col("floor_copies") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0),
     )
+    if limits.where("split > 0").isEmpty():
+        return decided
+    return _with_split(decided)
+
+
+def _with_split(decided: DataFrame) -> DataFrame:
+    """decided, where split of the rows at a source's threshold get one copy more.
+
+    Rows at thresholds are numbered within what one task wrote and moved by the counts of the
+    tasks before, so that no task needs all of them, however many rows are alike.
+    """
+    names = decided.columns
+    at_edge = (F.col("split") > 0) & (F.col("h") == F.col("threshold"))
+    edge = durable(decided.where(at_edge).withColumn("_at", F.monotonically_increasing_id()))
+    edge = edge.withColumn("_part", F.shiftright("_at", 33))
+    before = Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        edge.groupBy(F.col("source").alias("_of"), F.col("_part").alias("_in"))
+        .agg(F.count("*").alias("_n"))
+        .select("_of", "_in", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    )
+    number = F.row_number().over(Window.partitionBy("source", "_part").orderBy("_at"))
+    numbered = edge.withColumn("_number", number).join(
+        shifts, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in"))
+    )
+    more = F.when(F.col("_number") + F.col("_shift") <= F.col("split"), 1).otherwise(0)
+    return decided.where(~at_edge).unionByName(
+        numbered.withColumn("copies", F.col("floor_copies") + more).select(*names)
+    )
 
 
 def mix_sources(docs: DataFrame) -> DataFrame:
@@ -236,13 +270,17 @@ WITH d AS (
   SELECT d.doc_id, d.size, d.source, g.source_size, g.target,
          CASE WHEN g.target >= g.source_size THEN 1 ELSE 0 END AS once,
          CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS BIGINT) AS up_to,
-         CAST(sum(d.size) OVER (PARTITION BY d.source, d.h) AS BIGINT) AS alike
+         CAST(sum(d.size) OVER (PARTITION BY d.source, d.h) AS BIGINT) AS alike,
+         count(*) OVER (PARTITION BY d.source, d.h) AS n_alike,
+         row_number() OVER (PARTITION BY d.source, d.h) AS number
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
 ), t AS (
   SELECT *, target - once * source_size AS budget FROM r
+), k AS (
+  SELECT *, once + CASE WHEN up_to <= budget OR number <= ceil((budget - (up_to - alike)) / (alike / n_alike) - 0.5)
+                        THEN 1 ELSE 0 END AS copies
+  FROM t
 )
-SELECT doc_id, size, source_size, target, source,
-       CAST(size * (once + CASE WHEN up_to <= budget OR 2 * (budget - (up_to - alike)) > alike THEN 1 ELSE 0 END) AS BIGINT) AS taken,
-       CAST(once + CASE WHEN up_to <= budget OR 2 * (budget - (up_to - alike)) > alike THEN 1 ELSE 0 END AS INTEGER) AS copies
-FROM t
+SELECT doc_id, size, source_size, target, source, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies
+FROM k
 """
