@@ -5,7 +5,7 @@ reads until the words and numbers it holds come to BLOCK_BYTES. In a block every
 a number, and a text becomes the list of its words' numbers in order: words exploded with
 positions, the positions of a block packed together. The distinct words of all blocks are then
 shuffled by word, so that each is encoded once, by its task, for all texts; its ids go back to the
-blocks that hold it, and each text's ids are put together by position. Decoding looks the ids up in
+blocks that hold it, those of a block packed together, and each text's ids are put together by position. Decoding looks the ids up in
 the table of token bytes.
 
 A text of more than CHUNK_CHARS is cut where no match can go on (before white space, between
@@ -47,6 +47,8 @@ BLOCK_BYTES = 96 << 20
 WORD_BYTES = 120
 # Scans in smaller splits are joined to about so many bytes a task: larger blocks share more words.
 SPLIT_BYTES = 48 << 20
+# Words and ids that a task packs together on their way back to the blocks.
+PACKED_ROWS = 1_000_000
 
 LETTER, NUMBER, OTHER, SPACE, BETWEEN = range(5)
 # The code points of Unicode's property White_Space.
@@ -294,26 +296,63 @@ def decode(ids: np.ndarray, ranks: str = RANKS) -> bytes:
     return gather(*token_bytes(ranks), ids.astype(np.int64)).tobytes()
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers below 2**32: all lowest bytes, then all second ones..."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes | pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
+
+def _by_block(block: np.ndarray, number: np.ndarray, size: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """One row a block: numbers (as steps from the one before), how many ids each has, and the ids."""
+    order = np.lexsort((number, block))
+    values = gather(values, np.cumsum(size) - size, size, order)
+    block, number, size = block[order], number[order], size[order]
+    cuts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    ends = np.append(cuts[1:], len(block))
+    upto = np.append(0, np.cumsum(size))
+    rows = [
+        (planes(np.diff(number[a:b], prepend=0)), planes(size[a:b]), planes(values[upto[a] : upto[b]]))
+        for a, b in zip(cuts, ends)
+    ]
+    packed = [pa.array(c, pa.binary()) for c in zip(*rows)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[cuts]), *packed], names=["block", "numbers", "sizes", "ids"]
+    )
+
+
 def word_ids(words: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """block, number and ids of rows (block, number, word): each distinct word is encoded once by
-    the task that gets all its rows."""
+    """Ids of rows (block, number, word): each distinct word is encoded once by the task that gets
+    all its rows. Those of a block go back packed, up to PACKED_ROWS words of a task at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(ranks)._encode_single_piece
+        held, n = [], 0
+
+        def packed() -> pa.RecordBatch:
+            return _by_block(*map(np.concatenate, zip(*held)))
+
         for batch in batches:
+            if not len(batch):
+                continue
             coded = batch["word"].dictionary_encode()
-            ids = pa.array(
-                [np.array(encode(w), "<u4").tobytes() for w in coded.dictionary.to_pylist()],
-                pa.binary(),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch["block"], batch["number"], ids.take(coded.indices)],
-                names=["block", "number", "ids"],
-            )
+            own = [np.array(encode(w), np.uint32) for w in coded.dictionary.to_pylist()]
+            size = np.array([len(x) for x in own], np.int64)
+            at = coded.indices.to_numpy()
+            values = gather(np.concatenate(own), np.cumsum(size) - size, size, at)
+            held.append((batch["block"].to_numpy(), batch["number"].to_numpy(), size[at], values))
+            n += len(at) + len(values)
+            if n >= PACKED_ROWS:
+                yield packed()
+                held, n = [], 0
+        if held:
+            yield packed()
 
     # Sorted, the rows of a word lie together, in one Arrow batch or two.
     return words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        run, "block bigint, number bigint, ids binary"
+        run, "block bigint, numbers binary, sizes binary, ids binary"
     )
 
 
@@ -329,16 +368,15 @@ def assemble(docs: DataFrame, finish: Finish, schema: str, ranks: str = RANKS) -
     texts = table.where("word IS NULL").select("block", "row", "doc_id", "part", "parts", "codes")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = right["ids"].combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.binary())
         # Where the ids of each of the block's numbers lie in what came back.
-        _, offsets, data = lists.buffers()
-        values = np.frombuffer(data or b"", "<u4")
-        ends = np.frombuffer(offsets or b"\0" * 4, np.int32)[lists.offset :][: len(lists) + 1] // 4
-        number = right["number"].to_numpy()
+        def together(make: Callable, column: str) -> np.ndarray:
+            return np.concatenate([np.zeros(0, np.uint32), *(make(x.as_buffer()) for x in right[column])])
+
+        number = together(lambda x: np.cumsum(from_planes(x), dtype=np.uint32), "numbers")
+        own = together(from_planes, "sizes").astype(np.int64)
+        values = together(from_planes, "ids")
         first, size = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
-        first[number], size[number] = ends[:-1], np.diff(ends)
+        first[number], size[number] = np.cumsum(own) - own, own
         width = max(1, -(-len(number).bit_length() // 8))
 
         def ids() -> Iterator[np.ndarray]:
