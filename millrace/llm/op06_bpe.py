@@ -8,7 +8,7 @@ shuffled by word, so that each is encoded once, by its task, for all texts; its
 blocks that hold it, those of a block packed together, and each text's ids are put together by position. Decoding looks the ids up in
 the table of token bytes.
 
-A text of more than CHUNK_CHARS is cut where no match can go on (before white space, between
+A text of more than PIECE_CHARS is cut where no match can go on (before white space, between
 letters and digits); its parts are rows with a position, in whichever blocks they fall, and are put
 together at the end. So memory holds a block, whatever words it has and however long a text is;
 only a run without any such place (one word of millions of letters) is held whole.
@@ -42,6 +42,8 @@ from millrace.llm.common import LAST_WORD_POINT, chunks, durable, pick, shared_d
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CHUNK_CHARS = 2_000_000
+# Texts are cut into words about so many characters at a time, and a longer text into such parts.
+PIECE_CHARS = 250_000
 # What a block's words and numbers take; a word costs about WORD_BYTES besides its own.
 BLOCK_BYTES = 96 << 20
 WORD_BYTES = 120
@@ -229,7 +231,7 @@ class _Block:
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = _Block()
-    for rows, texts, part, parts, batch in in_parts(batches):
+    for rows, texts, part, parts, batch in in_parts(batches, PIECE_CHARS):
         at = pa.array(rows)
         block.add(batch["row"].take(at), batch["doc_id"].take(at), part, parts, texts)
         if block.bytes >= BLOCK_BYTES:
