@@ -48,7 +48,7 @@ FOLDS, HELD_OUT_FOLD = 4, 2
 
 SAMPLE = 1000  # of toxic rows; of others twice as many
 TRAINING_CHARS = 32_000_000  # of each label, all texts together
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 500_000  # a character takes about 70 bytes while its piece is scored
 DIMENSION = 1 << 20
 GRAM = 4
 EPOCHS, RATE, BIAS_RATE, FIRST_BIAS = 200, 0.5, 0.5, -9.0

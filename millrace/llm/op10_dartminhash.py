@@ -62,7 +62,7 @@ PRINT_LONGS = -(-PLACES * 2 // 64)
 MOST_DIFFERENT = 125
 # Pairs are checked in blocks of about so many.
 BLOCK_PAIRS = 20_000
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 
 _STEP = 0x9E3779B97F4A7C15  # the increment of splitmix64
 _FOLD = np.array([(_STEP * (2 * i + 1)) % 2**64 for i in range(SHINGLE)], np.uint64)

@@ -4,7 +4,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
-from millrace.llm import op06_bpe
+from millrace.llm import op05_toxicity, op06_bpe, op10_dartminhash
 from millrace.llm.common import chunks
 
 
@@ -45,6 +45,28 @@ def test_pieces_hold_all_rows_in_order():
     assert all(sum(map(len, own)) <= 40 or len(own) == 1 for _, own in found)
 
 
+def test_scoring_holds_little():
+    rows = batch(2_000)
+    model = op05_toxicity.Model(-9.0, np.zeros(op05_toxicity.DIMENSION))
+
+    def run():
+        for _, texts in chunks([rows], "text", op05_toxicity.CHUNK_CHARS):
+            b = op05_toxicity.bags(texts)
+            op05_toxicity.document_scores(op05_toxicity.sentence_scores(b, model), b.owner, len(texts))
+
+    assert peak_mb(run) < 70
+
+
+def test_sketching_holds_little():
+    rows = batch(2_000)
+
+    def run():
+        for _, texts in chunks([rows], "text", op10_dartminhash.CHUNK_CHARS):
+            op10_dartminhash.signatures(*op10_dartminhash.elements(texts), len(texts))
+
+    assert peak_mb(run) < 60
+
+
 def test_blocks_hold_little_besides_their_words():
     rows = batch(2_000)
     op06_bpe._classes()
