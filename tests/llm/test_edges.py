@@ -130,6 +130,32 @@ def test_reading_back_refuses_examples_that_do_not_fit(spark):
             op07_chat.read_back(formatted.withColumn(c, F.col(c) + 1)).collect()
 
 
+def test_every_reply_is_expanded_with_its_context(spark, monkeypatch):
+    """Contexts are texts, whole or going on from an earlier example, and grow with the turns only."""
+    monkeypatch.setattr(op07_chat, "PREFIX_CHARS", 500)
+    rows = [(c, t, "assistant" if t % 3 == 1 else "user", f"<{c}> turn {t}" * (1 + t % 4))
+            for c, n in ((1, 200), (2, 2), (3, 1), (None, 5)) for t in range(n)]
+    formatted = op07_chat.format_turns(spark.createDataFrame(rows, TURNS))
+    whole = {}
+    for r in sorted(formatted.collect(), key=lambda r: (str(r.conv_id), r.position)):
+        whole[r.conv_id] = whole.get(r.conv_id, "") + r.segment
+    made = op07_chat.expanded(formatted).collect()
+    ends = {(c, 0) for c in whole}
+    for r in made:
+        assert r.context == whole[r.conv_id][r.held_from : r.context_chars]
+        assert r.target == whole[r.conv_id][r.context_chars :][: len(r.target)]
+        assert r.example is not None or r.context_chars == len(whole[r.conv_id])
+        assert (r.conv_id, r.held_from) in ends
+        ends.add((r.conv_id, r.context_chars + len(r.target)))
+        assert len(r.context) < 1_000
+    assert sum(r.example is not None for r in made) == sum(role == "assistant" for _, _, role, _ in rows)
+    assert all(r.held_from == 0 for r in made if r.conv_id != 1) and any(r.held_from for r in made)
+    got = {r.conv_id: r for r in op07_chat.read_back(formatted).collect()}
+    for c, text in whole.items():
+        loss = "".join(x for d, _, role, x in rows if d == c and role == "assistant")
+        assert (got[c].formatted_chars, got[c].loss_sha256) == (len(text), hashlib.sha256(loss.encode()).hexdigest())
+
+
 # --- pipeline
 
 
