@@ -10,9 +10,15 @@ among windows whose shorter parts are frequent in the whole corpus: with many sh
 support is below one occurrence, and it is these rounds that bound what is counted.
 
 Sets of phrases go to the tasks as bits of hashes in an array of BITS bits, whatever their number;
-phrases that share a bit with a candidate are counted, too, and fall out by their sums. Nothing is
-counted by hash: in a shard windows are told apart by the numbers of their words, over shards by
-their words.
+phrases that share a bit with a candidate are counted, too, and fall out by their sums. What is
+returned is not counted by hash: in a shard windows are told apart by the numbers of their words,
+over shards by their words.
+
+The more shards, the lower their support, and the more is frequent in one of them only. So while a
+shard is mined, all its windows of a round's least length are also summed by hash, in COUNTERS
+numbers of fixed size. A candidate whose number stays below MINIMUM over all shards is not frequent
+and is not counted. Bits and numbers leave a shard in blocks of BLOCK_BYTES, so many at most a shard
+whatever it holds.
 
 Only the best of a language are returned: the best of parts of its candidates first, then the best
 of these, so that no task sorts all candidates of a language.
@@ -48,6 +54,8 @@ BEST = 2000
 CHUNK_CHARS = 2_000_000
 SHARD_WORDS = 6_000_000
 BITS = 1 << 26
+COUNTERS = 1 << 22
+BLOCK_BYTES = 1 << 16
 ROUNDS = ((2, 2), (3, LONGEST))
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -223,30 +231,78 @@ def _summed(counts: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "phrase", "length").agg(F.sum("n").alias("f"))
 
 
-SLOTS = "slot bigint, bits bigint"
+ARRAYS = "kind int, block int, data binary"
+_ARRAYS = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("data", pa.binary())])
+HELD, SUMS = range(2)  # kinds: bits of a set, counts by hash
+
+
+def _blocks(kind: int, array: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The blocks of an array that are not 0 throughout, a row each."""
+    data = array.view(np.uint8)
+    data = data.reshape(-1, min(BLOCK_BYTES, len(data)))
+    used = np.flatnonzero(data.any(axis=1))
+    for own in np.array_split(used, -(-len(used) // 16)) if len(used) else []:
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(kind, pa.int32()), len(own)), pa.array(own, pa.int32()),
+             pa.array([data[i].tobytes() for i in own], pa.binary())],
+            schema=_ARRAYS,
+        )
 
 
-def _slots(h: np.ndarray, bits: int) -> pa.RecordBatch:
-    """The words of an array of so many bits that these hashes set bits of."""
-    at = np.unique(h & np.uint64(bits - 1))
+def _set(bits: np.ndarray, h: np.ndarray) -> None:
+    at = np.unique(h & np.uint64(len(bits) * 64 - 1))
     slot = (at >> np.uint64(6)).astype(np.int64)
     first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else slot
-    value = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(slot) else at
-    return pa.RecordBatch.from_arrays([pa.array(slot[first]), pa.array(value.view(np.int64))], names=["slot", "bits"])
+    if len(slot):
+        bits[slot[first]] |= np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
 
 
-def _gathered(slots: DataFrame, bits: int) -> np.ndarray:
-    """The array of bits, put together from all tasks: bits / 8 bytes at any size of the input."""
-    table = slots.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[table["slot"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return out
+def _sum_of(h: np.ndarray) -> np.ndarray:
+    """The part of the hash that says where its count goes."""
+    return h >> np.uint64(38)
+
+
+def _sums(bits: int) -> int:
+    """How many counts there are beside so many bits."""
+    return min(COUNTERS, bits)
+
+
+def _together(blocks: DataFrame, bits: int, minimum: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bits set by any task, and the bits of the counts that come to minimum over all tasks:
+    two arrays of fixed size at any size of the input, put together block by block."""
+    kind = np.min_scalar_type(minimum)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for key, data in zip(zip(batch["kind"].to_pylist(), batch["block"].to_pylist()), batch["data"]):
+                if key[0] == HELD:
+                    new = np.frombuffer(data.as_buffer(), np.uint8)
+                    found[key] = found[key] | new if key in found else new.copy()
+                else:
+                    new = np.frombuffer(data.as_buffer(), kind).astype(np.int64)
+                    found[key] = found[key] + new if key in found else new
+        for (what, block), x in found.items():
+            x = x if what == HELD else np.packbits(x >= minimum, bitorder="little")
+            yield pa.RecordBatch.from_arrays([pa.array([y], t) for y, t in zip((what, block, x.tobytes()), _ARRAYS.types)], schema=_ARRAYS)
+
+    held, enough = np.zeros(bits // 8, np.uint8), np.zeros(max(8, _sums(bits) // 8), np.uint8)
+    for row in blocks.repartition("kind", "block").mapInArrow(run, ARRAYS).toArrow().to_batches():
+        for what, block, data in zip(*(c.to_pylist() for c in row.columns)):
+            out = held if what == HELD else enough
+            out[block * len(data) : (block + 1) * len(data)] = np.frombuffer(data, np.uint8)
+    return held.view(np.uint64), enough.view(np.uint64)
+
+
+def _gathered(blocks: DataFrame, bits: int) -> np.ndarray:
+    return _together(blocks, bits, MINIMUM)[0]
 
 
 def _known(table: DataFrame, bits: int) -> np.ndarray:
     """The bits of phrases (lang, phrase)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(bits // 64, np.uint64)
         for batch in batches:
             by_lang: dict[str, list[list[str]]] = {}
             for lang, phrase in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist()):
@@ -254,40 +310,63 @@ def _known(table: DataFrame, bits: int) -> np.ndarray:
             for lang, own in by_lang.items():
                 words = _Words(0)
                 words.add(own)
-                hashes = [h for _, _, h, _ in phrases(words, lang, LONGEST, _all)]
-                yield _slots(np.concatenate(hashes), bits)
+                for _, _, h, _ in phrases(words, lang, LONGEST, _all):
+                    _set(held, h)
+        yield from _blocks(HELD, held)
 
-    return _gathered(table.select("lang", "phrase").mapInArrow(run, SLOTS), bits)
+    return _gathered(table.select("lang", "phrase").mapInArrow(run, ARRAYS), bits)
 
 
 def _mined(texts: DataFrame, known, first: int, last: int, minimum: int, bits: int) -> DataFrame:
-    """The bits of what is frequent in a shard, at its share of the support."""
+    """The bits of what is frequent in a shard, at its share of the support, and by hash how often
+    the shard has windows of first words, minimum at most (the rest does not matter)."""
+    kind = np.min_scalar_type(minimum)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
+            held, sums = np.zeros(bits // 64, np.uint64), np.zeros(_sums(bits), np.int32)
             for lang, words in shard.items():
                 support = -(-minimum * words.n // words.total)
 
                 def keep(length: int, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-                    enough = n >= support
-                    return enough & _holds(known.value, h) if length < first else enough
+                    # All windows of first words are summed, so their parts need not be frequent here.
+                    if length < first:
+                        return _holds(known.value, h)
+                    if length == first:
+                        at, n_ = (_sum_of(h) & np.uint64(len(sums) - 1)).astype(np.int64), np.minimum(n, minimum)
+                        order = np.argsort(at)
+                        at = at[order]
+                        new = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else at
+                        if len(at):
+                            own = np.minimum(sums[at[new]] + np.add.reduceat(n_[order], new), minimum)
+                            sums[at[new]] = own
+                    return n >= support
 
                 for length, _, h, _ in phrases(words, lang, last, keep):
                     if length >= first:
-                        yield _slots(h, bits)
+                        _set(held, h)
+            yield from _blocks(HELD, held)
+            yield from _blocks(SUMS, sums.astype(kind))
 
-    return texts.mapInArrow(run, SLOTS)
+    return texts.mapInArrow(run, ARRAYS)
 
 
 def _counted(texts: DataFrame, known, candidates, first: int, last: int) -> DataFrame:
-    """How often each candidate (and what shares a bit with one) occurs in each shard."""
+    """How often each candidate (and what shares a bit with one) occurs in each shard.
+
+    candidates are two arrays of bits: what is frequent in some shard and, for windows of first
+    words, what may come to the minimum in all shards together. Longer ones contain these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in _shards(batches):
             for lang, words in shard.items():
 
                 def keep(length: int, h: np.ndarray, n: np.ndarray) -> np.ndarray:
-                    return _holds(known.value if length < first else candidates.value, h)
+                    if length < first:
+                        return _holds(known.value, h)
+                    held, enough = candidates.value
+                    found = _holds(held, h)
+                    return found & _holds(enough, _sum_of(h)) if length == first else found
 
                 found = phrases(words, lang, last, keep)
                 yield from _rows(lang, words, (x for x in found if x[0] >= first))
@@ -317,7 +396,7 @@ def frequent(
         last = min(last, longest)
         known = spark.sparkContext.broadcast(_known(found, bits))
         candidates = spark.sparkContext.broadcast(
-            _gathered(_mined(texts, known, first, last, minimum, bits), bits)
+            _together(_mined(texts, known, first, last, minimum, bits), bits, minimum)
         )
         sums = _summed(_counted(texts, known, candidates, first, last))
         found = found.unionByName(durable(sums.where(F.col("f") >= minimum)))

@@ -99,3 +99,21 @@ def test_parts_are_cut_at_breaks():
     text = "ab cd. ef" * 50 + "x" * 400 + ", tail"
     parts = p.parts_of(text, 100)
     assert "".join(parts) == text and all(x[-1] in p.BREAKS for x in parts[:-1]) and len(parts) > 4
+
+
+def test_many_shards_do_not_make_more_to_count(spark):
+    """In 20 shards the support is 5: 30 pairs a shard that occur 5 times there and nowhere else are
+    candidates of their shards, but cannot come to 100."""
+    texts = [(s, f"a{s}x{i} b{s}x{i}. common pair") for s in range(20) for i in range(30) for _ in range(5)]
+    df = spark.createDataFrame([(s, t, "en", 4 * len(texts)) for s, t in texts], "s int, text string, lang string, total bigint")
+    df = spark.createDataFrame(df.rdd.map(tuple).keyBy(lambda r: r[0]).partitionBy(20, int).values(), df.schema).drop("s")
+    words = spark.createDataFrame([("en", w) for _, t in set(texts) for w in re.split("[ .]+", t)], "lang string, phrase string").distinct()
+    bits = 1 << 16
+    known = spark.sparkContext.broadcast(p._known(words, bits))
+    mined = p._mined(df, known, 2, 2, 100, bits).cache()
+    assert mined.count() <= 2 * 20  # a block of bits and one of sums a shard
+    both = p._together(mined, bits, 100)
+    assert sum(int(x).bit_count() for x in both[0]) > 500
+    counted = p._counted(df, known, spark.sparkContext.broadcast(both), 2, 2)
+    found = {r.phrase for r in counted.collect()}
+    assert "common pair" in found and len(found) < 20
