@@ -38,7 +38,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import LAST_WORD_POINT, chunks, durable, pick, shared_dir
+from millrace.llm.common import LAST_WORD_POINT, chunks, durable, pick, release, shared_dir
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CHUNK_CHARS = 2_000_000
@@ -51,6 +51,8 @@ WORD_BYTES = 120
 SPLIT_BYTES = 48 << 20
 # Words and ids that a task packs together on their way back to the blocks.
 PACKED_ROWS = 1_000_000
+# Ids below twice this are kept less this as 16-bit integers until a result names them.
+SHORT = 1 << 15
 
 LETTER, NUMBER, OTHER, SPACE, BETWEEN = range(5)
 # The code points of Unicode's property White_Space.
@@ -237,9 +239,11 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if block.bytes >= BLOCK_BYTES:
             yield from block.rows()
             block = _Block()
-            pa.default_memory_pool().release_unused()
+            release()
     if block.texts:
         yield from block.rows()
+    del block
+    release()
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -351,6 +355,8 @@ def word_ids(words: DataFrame, ranks: str = RANKS) -> DataFrame:
                 held, n = [], 0
         if held:
             yield packed()
+        held = []
+        release()
 
     # Sorted, the rows of a word lie together, in one Arrow batch or two.
     return words.repartition("word").sortWithinPartitions("word").mapInArrow(
@@ -370,6 +376,8 @@ def assemble(docs: DataFrame, finish: Finish, schema: str, ranks: str = RANKS) -
     texts = table.where("word IS NULL").select("block", "row", "doc_id", "part", "parts", "codes")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
+
         # Where the ids of each of the block's numbers lie in what came back.
         def together(make: Callable, column: str) -> np.ndarray:
             return np.concatenate([np.zeros(0, np.uint32), *(make(x.as_buffer()) for x in right[column])])
@@ -388,7 +396,10 @@ def assemble(docs: DataFrame, finish: Finish, schema: str, ranks: str = RANKS) -
                 codes[:, :width] = planes.T
                 yield gather(values, first, size, codes.view("<u4")[:, 0])
 
-        return finish(left.select(["row", "doc_id", "part", "parts"]), ids())
+        done = finish(left.select(["row", "doc_id", "part", "parts"]), ids())
+        del number, own
+        release()
+        return done
 
     return durable(
         texts.groupBy("block").cogroup(word_ids(words, ranks).groupBy("block")).applyInArrow(
@@ -451,35 +462,41 @@ DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 def digests(docs: DataFrame, ranks: str = RANKS, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of what they decode to, a row per row; with
     with_ids the ids, too."""
+    shift = SHORT if len(token_bytes(ranks)[2]) <= 2 * SHORT else 0
     kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(),
-             "ids": pa.list_(pa.int32())}
+             "ids": pa.list_(pa.int16() if shift else pa.int32())}
+
+    def stored(x: np.ndarray) -> np.ndarray:
+        return (x.astype(np.int32) - shift).astype(np.int16 if shift else np.int32)
 
     def finish(rows: pa.Table, ids: Iterator[np.ndarray]) -> pa.Table:
         def make(x: np.ndarray, split: bool) -> tuple:
             if split:
-                return len(x), None, None, x.astype(np.int32)
+                return len(x), None, None, stored(x)
             return (
                 len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
-                hashlib.sha256(decode(x, ranks)).hexdigest(), x.astype(np.int32) if with_ids else None,
+                hashlib.sha256(decode(x, ranks)).hexdigest(), stored(x) if with_ids else None,
             )
 
         return in_pieces(rows, ids, kinds, make)
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The parts of a text come one after the other and are digested as they come."""
-        schema = pa.schema([("doc_id", pa.int64()), *list(kinds.items())[: 4 if with_ids else 3]])
+        schema = pa.schema([("doc_id", pa.int64()), *list(kinds.items())[:3]])
+        if with_ids:
+            schema = schema.append(pa.field("ids", pa.list_(pa.int32())))
         for batch in batches:
             for doc, part, parts, values in zip(
                 *(batch[c].to_pylist() for c in ("doc_id", "part", "parts")), batch["ids"]
             ):
-                x = values.values.to_numpy().astype("<u4")
+                x = (values.values.to_numpy().astype(np.int32) + shift).astype("<u4")
                 if part == 0:
                     count, one, two, held = 0, hashlib.sha256(), hashlib.sha256(), []
                 count += len(x)
                 one.update(x.tobytes())
                 two.update(decode(x, ranks))
                 if with_ids:
-                    held.append(values.values)
+                    held.append(pa.array(x.astype(np.int32)))
                 if part == parts - 1:
                     row = [[doc], [count], [one.hexdigest()], [two.hexdigest()]]
                     arrays = [pa.array(c, f.type) for c, f in zip(row, schema)]
@@ -488,7 +505,7 @@ def digests(docs: DataFrame, ranks: str = RANKS, with_ids: bool = False) -> Data
                         arrays.append(pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole))
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    done = assemble(docs, finish, f"{DIGESTS}, ids array<int>", ranks)
+    done = assemble(docs, finish, f"{DIGESTS}, ids array<{'smallint' if shift else 'int'}>", ranks)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     several = (
         done.where("parts > 1")
@@ -497,4 +514,7 @@ def digests(docs: DataFrame, ranks: str = RANKS, with_ids: bool = False) -> Data
         .sortWithinPartitions("row", "part")
         .mapInArrow(together, f"doc_id bigint, {DIGESTS}" + (", ids array<int>" if with_ids else ""))
     )
-    return done.where("parts = 1").select(*names).unionByName(several)
+    whole = done.where("parts = 1").select(*names)
+    if with_ids:
+        whole = whole.withColumn("ids", F.transform("ids", lambda x: x.cast("int") + F.lit(shift)))
+    return whole.unionByName(several)
