@@ -60,6 +60,8 @@ DARTS_A_PLACE = 9.0
 # a deviation of 8.7, and so at more than MOST_DIFFERENT with probability 4e-5.
 PRINT_LONGS = -(-PLACES * 2 // 64)
 MOST_DIFFERENT = 125
+# Darts are thrown in blocks of about so many, whose arrays fit the processor's cache.
+BLOCK_DARTS = 16_384
 # Pairs are checked in blocks of about so many.
 BLOCK_PAIRS = 20_000
 CHUNK_CHARS = 500_000
@@ -111,31 +113,63 @@ def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(again > 0, mix(s + again.astype(np.uint64) * np.uint64(_STEP)), s), o
 
 
+def _throw(
+    sig: np.ndarray, seed: np.ndarray, of: np.ndarray, time: np.ndarray, until: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Puts the next k darts of each unit into sig, of those that come before their text's until.
+
+    Gives each unit's seed and time at the last of these, and whether all k came before it.
+    """
+    g = mix(seed + np.arange(1, k + 1, dtype=np.uint64)[:, None] * np.uint64(_STEP))
+    times = -np.log(((g >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
+    times[0] += time
+    # One after the other, so that a dart's time is the same however many are thrown at once.
+    np.cumsum(times, axis=0, out=times)
+    hit = times < until[of]
+    hits = np.count_nonzero(hit, axis=0)
+    at = np.flatnonzero(hit)
+    name = mix(g.ravel()[at] ^ np.uint64(_STEP))
+    # The remainder by PLACES; the operator % takes several times as long.
+    place = (name - name // np.uint64(PLACES) * np.uint64(PLACES)).astype(np.int64)
+    place += of[at % len(of)] * PLACES
+    early = times.ravel()[at].astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32)
+    np.minimum.at(sig, place, early | (name >> np.uint64(32)))
+    last = times[hits - 1, np.arange(len(of))]
+    seed = seed + hits.astype(np.uint64) * np.uint64(_STEP)
+    return seed, np.where(hits > 0, last, time), hits == k
+
+
 def signatures(units: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """PLACES numbers a text: time (as float32) and name of each place's earliest dart."""
+    """PLACES numbers a text: time (as float32) and name of each place's earliest dart.
+
+    Units go in blocks of BLOCK_DARTS darts. About as many are thrown at once as a unit is likely
+    to have, so units that have alike many are taken together: those of texts of alike weight.
+    """
     sig = np.full(n * PLACES, _EMPTY)
     weight = np.bincount(owner, minlength=n)
+    order = np.argsort(weight[owner], kind="stable")
+    seed, of = units[order], owner[order]
+    time = np.zeros(len(seed))
     until = np.zeros(n)
     until[weight > 0] = PLACES * DARTS_A_PLACE / weight[weight > 0]
     open_ = weight > 0
+    left, likely = np.arange(len(seed)), until
     while open_.any():
-        left = open_[owner]
-        seed, of = units[left], owner[left]
-        time = np.zeros(len(seed))
-        step = 0
-        while len(seed):
-            step += 1
-            g = mix(seed + np.uint64(step * _STEP % 2**64))
-            time -= np.log(((g >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
-            hit = time < until[of]
-            seed, of, time, g = seed[hit], of[hit], time[hit], g[hit]
-            name = mix(g ^ np.uint64(_STEP))
-            place = (name % np.uint64(PLACES)).astype(np.int64)
-            early = time.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32)
-            np.minimum.at(sig, of * PLACES + place, early | (name >> np.uint64(32)))
-        empty = (sig.reshape(n, PLACES) == _EMPTY).any(axis=1)
-        open_ &= empty
-        until[open_] *= 2
+        i, more = 0, []
+        while i < len(left):
+            k = int(likely[of[left[i]]]) + 1
+            own = left[i : i + max(1, BLOCK_DARTS // k)]
+            own = own[: np.count_nonzero(2 * likely[of[own]] + 2 >= k)]
+            seed[own], time[own], all_hit = _throw(sig, seed[own], of[own], time[own], until, k)
+            more.append(own[all_hit])
+            i += len(own)
+        # The number of a unit's darts varies by about the root of the number likely.
+        left, likely = np.concatenate(more), np.sqrt(until)
+        if not len(left):
+            open_ &= (sig.reshape(n, PLACES) == _EMPTY).any(axis=1)
+            likely = until.copy()
+            until[open_] *= 2
+            left = np.flatnonzero(open_[of])
     return sig.reshape(n, PLACES)
 
 
